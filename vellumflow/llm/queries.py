@@ -1,0 +1,24 @@
+"""Queries of the training-data operators, by name; each takes (spark, folder of the tables)."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from vellumflow.llm import tokens
+from vellumflow.runtime import table
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def p6_ids(spark: SparkSession, sf: str) -> DataFrame:
+    return tokens.encode_texts(table(spark, sf, "documents"), keep=["doc_id"])
+
+
+def queries() -> dict[str, Query]:
+    return {"p6_ids": p6_ids}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {}
