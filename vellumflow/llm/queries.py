@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellumflow.llm import tokens
+from vellumflow.llm import neardup, tokens
 from vellumflow.runtime import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,8 +16,17 @@ def p6_ids(spark: SparkSession, sf: str) -> DataFrame:
     return tokens.encode_texts(table(spark, sf, "documents"), keep=["doc_id"])
 
 
+#: Problem 3 as TESTDATA.md states it: runs of three words, similarity 0.6, at least 30 runs.
+P3 = {"id_col": "chunk_id", "text": "text", "run": 3, "threshold": 0.6, "least_runs": 30}
+
+
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    members, links = neardup.near_duplicates(table(spark, sf, "chunks"), **P3)
+    return neardup.near_duplicate_pairs(members, links).toDF("chunk_id_a", "chunk_id_b")
+
+
 def queries() -> dict[str, Query]:
-    return {"p6_ids": p6_ids}
+    return {"p3_found": p3_found, "p6_ids": p6_ids}
 
 
 def oracle_sql() -> dict[str, str]:
