@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vellumflow.llm import neardup, tokens
+from vellumflow.llm import neardup, sameform, splitting, tokens
 from vellumflow.runtime import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,8 +26,30 @@ def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return neardup.near_duplicate_pairs(members, links).toDF("chunk_id_a", "chunk_id_b")
 
 
+def units(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    """Blocks and chunks under one name: document_id, unit_id and the columns, one row for each row delivered."""
+    blocks = table(spark, sf, "blocks").select("document_id", F.col("block_id").alias("unit_id"), *columns)
+    return blocks.unionByName(table(spark, sf, "chunks").select("document_id", F.col("chunk_id").alias("unit_id"), *columns))
+
+
+def p4_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    return splitting.split_oversized(units(spark, sf, "text", "section_path"), ["document_id", "unit_id"], keep=["section_path"])
+
+
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p4_pieces(spark, sf).select("document_id", "unit_id").distinct()
+
+
+def p8_found(spark: SparkSession, sf: str) -> DataFrame:
+    return sameform.equal_form_pairs(table(spark, sf, "documents"), "doc_id").toDF("doc_id_a", "doc_id_b")
+
+
+def p8_forms(spark: SparkSession, sf: str) -> DataFrame:
+    return sameform.same_form(table(spark, sf, "documents"), keep=["doc_id"])
+
+
 def queries() -> dict[str, Query]:
-    return {"p3_found": p3_found, "p6_ids": p6_ids}
+    return {f.__name__: f for f in (p3_found, p4_found, p4_pieces, p6_ids, p8_found, p8_forms)}
 
 
 def oracle_sql() -> dict[str, str]:
