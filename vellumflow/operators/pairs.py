@@ -17,7 +17,8 @@ def group_pairs(df: DataFrame, key: str, member: str, block_members: int = BLOCK
     pairs need. A null key or member makes no pair; repeated rows count once.
     """
     rows = df.select(F.col(key).alias("k"), F.col(member).alias("m")).where("k is not null and m is not null")
-    sized = rows.dropDuplicates(["k", "m"]).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("k"))).where("n > 1")
+    # one shuffle by the key serves the removal of repeats, the count and, for small groups, the join
+    sized = rows.repartition("k").dropDuplicates(["k", "m"]).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("k"))).where("n > 1")
     blocks = F.ceil(F.col("n") / block_members).cast("int")
     placed = sized.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("m"), F.col("blocks")).cast("int"))
     left = placed.select("k", F.col("m").alias("x"), F.col("own").alias("i"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("j"))
