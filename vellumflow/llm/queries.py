@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellumflow.llm import neardup, sameform, splitting, tokens
+from vellumflow.llm import neardup, sameform, sentences, splitting, tokens
 from vellumflow.runtime import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,23 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     return p4_pieces(spark, sf).select("document_id", "unit_id").distinct()
 
 
+#: Most sampled blocks that are broadcast to the blocks; a longer list is joined by shuffle.
+P5_BROADCAST_ROWS = 1_000_000
+
+
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    sample = table(spark, sf, "sentence_sample").groupBy("document_id", "block_id").agg(F.max("lang").alias("lang"))
+    sample = F.broadcast(sample) if sample.count() <= P5_BROADCAST_ROWS else sample
+    blocks = table(spark, sf, "blocks").select("document_id", "block_id", "text").join(sample, ["document_id", "block_id"])
+    found = sentences.split_sentences(blocks, ["document_id", "block_id"], lang="lang")
+    return found.drop("sentence_index").distinct()
+
+
+def p5_sentences(spark: SparkSession, sf: str) -> DataFrame:
+    """Sentences of every block; the language of a text is found from it."""
+    return sentences.split_sentences(table(spark, sf, "blocks"), ["document_id", "block_id"]).distinct()
+
+
 def p8_found(spark: SparkSession, sf: str) -> DataFrame:
     return sameform.equal_form_pairs(table(spark, sf, "documents"), "doc_id").toDF("doc_id_a", "doc_id_b")
 
@@ -49,7 +66,7 @@ def p8_forms(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p3_found, p4_found, p4_pieces, p6_ids, p8_found, p8_forms)}
+    return {f.__name__: f for f in (p3_found, p4_found, p4_pieces, p5_found, p5_sentences, p6_ids, p8_found, p8_forms)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -19,7 +19,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +36,7 @@ LOOKALIKES = [
 ]
 LATIN, CYRILLIC, GREEK = 0, 1, 2
 #: Log score lost where the script changes inside a word, and where a word begins in another script than the document's.
-SWITCH_COST, START_COST = 8.0, 4.0
+SWITCH_COST, START_COST = 12.0, 16.0
 #: Ids of letters in the bigram table: 0 is a word's edge, 1 any character without an id of its own.
 _EDGE, _OTHER = 0, 1
 
@@ -286,11 +285,10 @@ def equal_form_pairs(df: DataFrame, id_col: str, text: str = "text") -> DataFram
     Identical texts are no pair; they stand as one variant, so a group of copies meets others once. Null and
     blank texts are in no pair, nor are null ids.
     """
-    formed = same_form(df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("raw_text")), "raw_text", ["id"], "form", bigram_scores(df, text))
     # the raw text goes along as its digest only
-    raw = df.select(F.col(f"`{id_col}`").alias("id"), F.unhex(F.md5(F.col(f"`{text}`"))).alias("raw")).where("raw is not null and id is not null")
-    keyed = formed.where(F.col("form").rlike(r"[^\s\p{Z}\p{C}]") & F.col("id").isNotNull()).select("id", F.unhex(F.md5("form")).alias("key"))
-    rows = cut(keyed.join(raw, "id"))
+    rows = df.select(F.col(f"`{id_col}`").alias("id"), F.unhex(F.md5(F.col(f"`{text}`"))).alias("raw"), F.col(f"`{text}`").alias("t"))
+    formed = same_form(rows.where("id is not null and t is not null"), "t", ["id", "raw"], "form", bigram_scores(df, text))
+    rows = cut(formed.where(F.col("form").rlike(r"[^\s\p{Z}\p{C}]")).select("id", "raw", F.unhex(F.md5("form")).alias("key")))
     variants = rows.select("key", "raw").distinct()
     met = group_pairs(variants, "key", "raw").select("key", F.col("a").alias("ra"), F.col("b").alias("rb"))
     a = rows.select("key", F.col("raw").alias("ra"), F.col("id").alias("x"))
