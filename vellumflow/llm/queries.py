@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellumflow.llm import neardup, sameform, sentences, splitting, tokens
+from vellumflow.llm import markup, neardup, sameform, sentences, splitting, tokens
 from vellumflow.runtime import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,28 @@ def units(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     return blocks.unionByName(table(spark, sf, "chunks").select("document_id", F.col("chunk_id").alias("unit_id"), *columns))
 
 
+def _typed_units(spark: SparkSession, sf: str) -> DataFrame:
+    """Units with their text and whether their type is formula."""
+    blocks = table(spark, sf, "blocks").select("document_id", F.col("block_id").alias("unit_id"), "text", F.col("block_type").alias("kind"))
+    chunks = table(spark, sf, "chunks").select("document_id", F.col("chunk_id").alias("unit_id"), "text", F.col("content_type").alias("kind"))
+    return blocks.unionByName(chunks).withColumn("is_formula", F.coalesce(F.lower(F.trim("kind")) == "formula", F.lit(False))).drop("kind")
+
+
+def p2_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Clean text of every block and chunk; formulas stay as they are."""
+    rows = _typed_units(spark, sf)
+    texts = rows.where("not is_formula").drop("is_formula")
+    done = markup.strip_markup(texts, keep=["document_id", "unit_id"])
+    formulas = rows.where("is_formula").select("document_id", "unit_id", F.col("text").alias("clean_text"), F.lit(0).alias("n_marks"), F.array().cast("array<string>").alias("mark_kinds"))
+    return done.unionByName(formulas)
+
+
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Units in which the model finds residue; texts without any special character can't be among them."""
+    rows = _typed_units(spark, sf).where(~F.col("is_formula") & markup.maybe_marked(F.col("text")))
+    return markup.strip_markup(rows, keep=["document_id", "unit_id"]).where("n_marks > 0").select("document_id", "unit_id").distinct()
+
+
 def p4_pieces(spark: SparkSession, sf: str) -> DataFrame:
     return splitting.split_oversized(units(spark, sf, "text", "section_path"), ["document_id", "unit_id"], keep=["section_path"])
 
@@ -66,7 +88,7 @@ def p8_forms(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p3_found, p4_found, p4_pieces, p5_found, p5_sentences, p6_ids, p8_found, p8_forms)}
+    return {f.__name__: f for f in (p2_found, p2_text, p3_found, p4_found, p4_pieces, p5_found, p5_sentences, p6_ids, p8_found, p8_forms)}
 
 
 def oracle_sql() -> dict[str, str]:
