@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellumflow.llm import markup, neardup, sameform, sentences, splitting, tokens
+from vellumflow.llm import markup, neardup, packing, sameform, sentences, splitting, tokens
 from vellumflow.runtime import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,12 @@ def p5_sentences(spark: SparkSession, sf: str) -> DataFrame:
     return sentences.split_sentences(table(spark, sf, "blocks"), ["document_id", "block_id"]).distinct()
 
 
+def p7_containers(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents in containers of each capacity, sized in tokens of byte_bpe_50k."""
+    sizes = tokens.encode_texts(table(spark, sf, "documents"), keep=["doc_id"], out="n_tokens", only_count=True)
+    return packing.fill_containers(sizes, table(spark, sf, "container_specs"), "doc_id").withColumnRenamed("id", "doc_id")
+
+
 def p8_found(spark: SparkSession, sf: str) -> DataFrame:
     return sameform.equal_form_pairs(table(spark, sf, "documents"), "doc_id").toDF("doc_id_a", "doc_id_b")
 
@@ -88,7 +94,7 @@ def p8_forms(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p2_found, p2_text, p3_found, p4_found, p4_pieces, p5_found, p5_sentences, p6_ids, p8_found, p8_forms)}
+    return {f.__name__: f for f in (p2_found, p2_text, p3_found, p4_found, p4_pieces, p5_found, p5_sentences, p6_ids, p7_containers, p8_found, p8_forms)}
 
 
 def oracle_sql() -> dict[str, str]:
