@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellumflow.llm import markup, neardup, packing, sameform, sentences, splitting, tokens
+from vellumflow.llm import markup, neardup, packing, quality, sameform, sentences, splitting, tokens
 from vellumflow.runtime import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,17 @@ def units(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     return blocks.unionByName(table(spark, sf, "chunks").select("document_id", F.col("chunk_id").alias("unit_id"), *columns))
 
 
+def p1_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    """Statistics and prose score of every chunk."""
+    chunks = table(spark, sf, "chunks")
+    model = quality.fit_on_labels(chunks, table(spark, sf, "chunk_labels"))
+    return quality.text_statistics(chunks, model, keep=["chunk_id"])
+
+
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p1_statistics(spark, sf).where("prose_score < 0.5").select("chunk_id").distinct()
+
+
 def _typed_units(spark: SparkSession, sf: str) -> DataFrame:
     """Units with their text and whether their type is formula."""
     blocks = table(spark, sf, "blocks").select("document_id", F.col("block_id").alias("unit_id"), "text", F.col("block_type").alias("kind"))
@@ -94,7 +105,7 @@ def p8_forms(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p2_found, p2_text, p3_found, p4_found, p4_pieces, p5_found, p5_sentences, p6_ids, p7_containers, p8_found, p8_forms)}
+    return {f.__name__: f for f in (p1_found, p1_statistics, p2_found, p2_text, p3_found, p4_found, p4_pieces, p5_found, p5_sentences, p6_ids, p7_containers, p8_found, p8_forms)}
 
 
 def oracle_sql() -> dict[str, str]:
