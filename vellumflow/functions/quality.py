@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vellumflow.functions.text import WS, count_words, strip_ws
 
 #: The characters that count as clean, the URL pattern, and reasons in the order they are tried.
-CLEAN = r"\p{L}\p{N}_\s\p{Z},.;:!?()\-–—/\[\]{}@#$%&*+=<>°ºª€£¥"
+CLEAN = r"\p{L}\p{N}_\t-\r\x1c-\x20\x85\p{Z},.;:!?()\-–—/\[\]{}@#$%&*+=<>°ºª€£¥"
 URL = r"""(?i)https?://[^\s<>"']+|www\.[^\s<>"']+"""
 EXEMPT = ("table", "list", "figure_caption", "references", "formula", "quote", "footnote")
 NOISE_TYPES = ("paragraph", "references", "quote", "footnote")
@@ -30,7 +30,7 @@ def ocr_noise(c: Column, digits: int | None = 2) -> Column:
     t = F.coalesce(c, F.lit(""))
     n = F.length(t)
     w = r"[\p{L}\p{N}_]"
-    s = r"[\s\p{Z}]"
+    s = r"[\t-\r\x1c-\x20\x85\p{Z}]"
     noise = _n(t, f"[^{CLEAN}]") + _n(t, f"{w}{s}{w}{s}{w}{s}{w}") + _chars(t, r"\|{2,}") + _chars(t, "_{3,}") + _chars(t, r"\.{4,}") + 2 * _n(t, rf"(?:\p{{Nd}}{s}){{5,}}")
     letters = _n(t, r"\p{L}")
     beyond = _n(t, r"[^\x00-\x7F\p{L}]")

@@ -12,7 +12,7 @@ INVISIBLE = "­​‌‍⁠﻿"
 ODD_SPACES = "              　"
 QUOTES = {"“": '"', "”": '"', "„": '"', "‟": '"', "‘": "'", "’": "'", "‚": "'", "″": '"', "′": "'"}
 LATIN = "A-Za-zÀ-ÿ"
-WS = r"[\s\p{Z}]"
+WS = r"[\t-\r\x1c-\x20\x85\p{Z}]"
 #: Words that open special sections.
 REFERENCES = r"(?iu)^\s*(refer[êe]ncias?|bibliografia|references|bibliography|obras\s+citadas)(?![\p{L}\p{N}_])"
 APPENDIX = r"(?iu)^\s*(ap[êe]ndices?|anexos?)(?![\p{L}\p{N}_])"
@@ -75,7 +75,7 @@ def normalize_text(c: Column, collapse_newlines: bool = True) -> Column:
 
 def count_words(c: Column) -> Column:
     """Runs without white space; null has none."""
-    return F.coalesce(F.regexp_count(c, F.lit(r"[^\s\p{Z}]+")), F.lit(0))
+    return F.coalesce(F.regexp_count(c, F.lit(r"[^\t-\r\x1c-\x20\x85\p{Z}]+")), F.lit(0))
 
 
 def words(c: Column) -> Column:
@@ -222,7 +222,7 @@ def source_note(c: Column) -> Column:
 
 def spaced_capitals(c: Column) -> Column:
     """Single capitals with spaces between them joined, then white space squashed."""
-    return squash_ws(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?<![\p{L}\p{N}_])([A-ZÀ-Ú])[\s\p{Z}](?=[A-ZÀ-Ú](?:[\s\p{Z}]|$))", "$1"))
+    return squash_ws(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?<![\p{L}\p{N}_])([A-ZÀ-Ú])[\t-\r\x1c-\x20\x85\p{Z}](?=[A-ZÀ-Ú](?:[\t-\r\x1c-\x20\x85\p{Z}]|$))", "$1"))
 
 
 def disposition_filename(header: Column, fallback: Column) -> Column:
