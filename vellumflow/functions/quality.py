@@ -32,7 +32,7 @@ def ocr_noise(c: Column, digits: int | None = 2) -> Column:
     w = r"[\p{L}\p{N}_]"
     s = r"[\t-\r\x1c-\x20\x85\p{Z}]"
     noise = _n(t, f"[^{CLEAN}]") + _n(t, f"{w}{s}{w}{s}{w}{s}{w}") + _chars(t, r"\|{2,}") + _chars(t, "_{3,}") + _chars(t, r"\.{4,}") + 2 * _n(t, rf"(?:\p{{Nd}}{s}){{5,}}")
-    letters = _n(t, r"\p{L}")
+    letters = F.length(F.regexp_replace(t, r"\P{L}+", ""))
     beyond = _n(t, r"[^\x00-\x7F\p{L}]")
     score = F.least(noise / n * 0.5 + (1.0 - letters / n) * 0.3 + beyond / n * 0.2, F.lit(1.0))
     return F.when(n == 0, 0.0).otherwise(score if digits is None else F.bround(score, digits))
@@ -45,11 +45,17 @@ def url_chars(c: Column) -> Column:
 def is_heading_only(c: Column) -> Column:
     """At most 120 characters in one line without a sentence's end."""
     t = strip_ws(F.coalesce(c, F.lit("")))
-    return (t != "") & (F.length(t) <= 120) & ~t.contains("\n") & ~t.rlike(r"[.!?;:]$")
+    return (t != "") & (F.length(t) <= 120) & ~t.contains("\n") & ~t.rlike(r"[.!?;:]\z")
 
 
 def has_no_body(c: Column) -> Column:
-    return F.length(F.regexp_replace(F.coalesce(c, F.lit("")), "[^a-zA-ZÀ-ÿ0-9]", "")) < 10
+    """Under ten letters or digits; the match stops at the tenth."""
+    return ~F.coalesce(c, F.lit("")).rlike("^(?:[^a-zA-ZÀ-ÿ0-9]*+[a-zA-ZÀ-ÿ0-9]){10}")
+
+
+def has_fewer_words(c: Column, n: int) -> Column:
+    """Under ``n`` words; the match stops at the n-th."""
+    return ~F.coalesce(c, F.lit("")).rlike(rf"^(?:{WS}*+[^{WS[1:-1]}]++){{{n}}}") if n > 0 else F.lit(False)
 
 
 def is_complete(c: Column) -> Column:
@@ -60,7 +66,7 @@ def is_complete(c: Column) -> Column:
 
 def is_mostly_urls(c: Column) -> Column:
     solid = F.length(F.regexp_replace(F.coalesce(c, F.lit("")), WS, ""))
-    return (solid > 0) & (url_chars(c) / solid > 0.85)
+    return F.coalesce(c, F.lit("")).rlike(r"(?i)https?://|www\.") & (solid > 0) & (url_chars(c) / solid > 0.85)
 
 
 def is_table_fragment(c: Column) -> Column:
@@ -102,7 +108,7 @@ def document_rules(c: Column, block_type: Column, min_chars: int = 300, min_toke
         (is_heading_only(c), "apenas_titulo"),
         ((block_type == "table") & is_table_fragment(c), "fragmento_tabela_isolado"),
         (ocr_noise(c) >= noise_threshold, "ruido_ocr_excessivo"),
-        (count_words(c) < min_tokens, "abaixo_do_minimo_de_tokens"),
+        (has_fewer_words(c, min_tokens), "abaixo_do_minimo_de_tokens"),
         ((F.length(F.coalesce(c, F.lit(""))) < min_chars) & ~is_complete(c), "abaixo_do_minimo_de_caracteres"),
     ]
 

@@ -13,6 +13,8 @@ ODD_SPACES = "              　"
 QUOTES = {"“": '"', "”": '"', "„": '"', "‟": '"', "‘": "'", "’": "'", "‚": "'", "″": '"', "′": "'"}
 LATIN = "A-Za-zÀ-ÿ"
 WS = r"[\t-\r\x1c-\x20\x85\p{Z}]"
+#: The characters of WS one by one.
+WS_CHARS = "".join(map(chr, [*range(0x9, 0xE), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 #: Words that open special sections.
 REFERENCES = r"(?iu)^\s*(refer[êe]ncias?|bibliografia|references|bibliography|obras\s+citadas)(?![\p{L}\p{N}_])"
 APPENDIX = r"(?iu)^\s*(ap[êe]ndices?|anexos?)(?![\p{L}\p{N}_])"
@@ -54,7 +56,7 @@ def squash_ws(c: Column) -> Column:
 
 def strip_ws(c: Column) -> Column:
     """No white space of any kind around."""
-    return F.regexp_replace(c, f"^{WS}+|{WS}+$", "")
+    return F.btrim(c, F.lit(WS_CHARS))
 
 
 def normalize_text(c: Column, collapse_newlines: bool = True) -> Column:

@@ -47,6 +47,11 @@ def chart_confidence(caption: Column, note: Column, data: Column) -> Column:
     )
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often it is named."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def html_rows(html: Column) -> Column:
     """Cells of each row of an HTML table, without tags."""
     rows = F.regexp_extract_all(_t(html), F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), F.lit(1))
@@ -63,31 +68,34 @@ def markdown_rows(markdown: Column) -> Column:
 
 def table_quality(html: Column, caption: Column, note: Column, section_kind: Column, markdown: Column) -> Column:
     """How well a table can be indexed: rows and columns .25, header .2, caption .15, even rows .15, section .15, note .1; 3 digits."""
-    from_html = html_rows(html)
-    rows = F.when((F.size(from_html) < 2) & (_t(markdown) != ""), markdown_rows(markdown)).otherwise(from_html)
-    sizes = F.transform(rows, lambda r: F.size(r))
-    wide = F.coalesce(F.array_max(sizes), F.lit(0))
     one = lambda p: F.when(p, 1.0).otherwise(0.0)
-    even = F.when(F.size(rows) > 0, F.size(F.filter(sizes, lambda s: s == wide)) / F.size(rows)).otherwise(0.0)
-    header = (F.size(rows) > 0) & F.coalesce(F.exists(F.get(rows, 0), lambda c: ~c.rlike(r"^[\d.,%\s\-]*$")), F.lit(False))
     section = F.when(section_kind.isNull(), 0.5).when(section_kind.isin("body", "analytical_appendix", "administrative_appendix"), 1.0).otherwise(0.0)
-    score = 0.25 * one((F.size(rows) >= 2) & (wide >= 2)) + 0.20 * one(header) + 0.15 * one(~_blank(caption)) + 0.15 * even + 0.15 * section + 0.10 * one(~_blank(note))
-    return F.bround(score, 3)
+
+    def score(rows: Column) -> Column:
+        sizes = F.transform(rows, lambda r: F.size(r))
+        wide = F.coalesce(F.array_max(sizes), F.lit(0))
+        even = F.when(F.size(rows) > 0, F.size(F.filter(rows, lambda r: F.size(r) == wide)) / F.size(rows)).otherwise(0.0)
+        header = (F.size(rows) > 0) & F.coalesce(F.exists(F.get(rows, 0), lambda c: ~c.rlike(r"^[\d.,%\s\-]*$")), F.lit(False))
+        return F.bround(0.25 * one((F.size(rows) >= 2) & (wide >= 2)) + 0.20 * one(header) + 0.15 * one(~_blank(caption)) + 0.15 * even + 0.15 * section + 0.10 * one(~_blank(note)), 3)
+
+    return let(let(html_rows(html), lambda h: F.when((F.size(h) < 2) & (_t(markdown) != ""), markdown_rows(markdown)).otherwise(h)), score)
 
 
 def table_rows_text(markdown: Column, caption: Column, max_rows: int = 40) -> Column:
     """A line ``Header: value. Header: value.`` for each row, under the caption; empty with under two rows."""
-    rows = markdown_rows(markdown)
-    head = F.get(rows, 0)
+    top = F.when(_t(caption) != "", F.array(strip_ws(caption))).otherwise(F.array().cast("array<string>"))
 
-    def line(r: Column) -> Column:
-        pairs = F.transform(r, lambda v, i: F.when((i < F.size(head)) & (v != ""), F.concat(F.get(head, i), F.lit(": "), v)))
-        kept = F.filter(pairs, lambda p: p.isNotNull())
-        return F.when(F.size(kept) > 0, F.concat(F.array_join(kept, ". "), F.lit(".")))
+    def text(rows: Column) -> Column:
+        head = F.get(rows, 0)
 
-    body = F.filter(F.transform(F.slice(rows, 2, max_rows), line), lambda x: x.isNotNull())
-    top = F.when(_t(caption) != "", F.array(strip_ws(caption))).otherwise(F.array().cast("array<string>"))
-    return F.when(F.size(rows) < 2, "").otherwise(strip_ws(F.array_join(F.concat(top, body), "\n")))
+        def line(r: Column) -> Column:
+            pairs = F.transform(r, lambda v, i: F.when((i < F.size(head)) & (v != ""), F.concat(F.get(head, i), F.lit(": "), v)))
+            return let(F.array_compact(pairs), lambda kept: F.when(F.size(kept) > 0, F.concat(F.array_join(kept, ". "), F.lit("."))))
+
+        body = F.array_compact(F.transform(F.slice(rows, 2, max_rows), line))
+        return F.when(F.size(rows) < 2, "").otherwise(strip_ws(F.array_join(F.concat(top, body), "\n")))
+
+    return let(markdown_rows(markdown), text)
 
 
 def equation_confidence(latex: Column) -> Column:
