@@ -101,7 +101,7 @@ def raw_blocks(pages: DataFrame) -> DataFrame:
                 i.alias("page_index"),
                 k.alias("k"),
                 b.alias("b"),
-                F.try_element_at(F.concat(F.array(F.lit(None).cast("int")), F.filter(F.transform(F.filter(p, lambda x: x["type"] == "page_number"), lambda x: F.nullif(F.regexp_extract(inline_text(x["content"]["page_number_content"]), r"\d+", 0), F.lit("")).try_cast("int")), lambda n: n.isNotNull())), -1).alias("printed"),
+                F.try_element_at(F.concat(F.array(F.lit(None).cast("int")), F.filter(F.transform(F.filter(p, lambda x: x["type"] == "page_number"), lambda x: F.nullif(F.regexp_extract(inline_text(x["content"]["page_number_content"]), r"\d+", 0), F.lit("")).try_cast("int")), lambda n: n.isNotNull())), F.lit(-1)).alias("printed"),
             ),
         ),
     )
