@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -179,7 +181,9 @@ def test_stream_equals_batch(spark, tmp_path):
         got.update({r.job_id: (r.status, r.active_since, r.succeeded_at, r.failed) for r in batch.collect()})
 
     q = streaming.job_index_stream(stream).writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{tmp_path}/c").start()
-    q.processAllAvailable()
+    deadline = time.time() + 60  # a query with processing-time timeouts never runs dry, so the rows are counted
+    while time.time() < deadline and sum(p.numInputRows for p in q.recentProgress) < len(rows):
+        time.sleep(0.3)
     q.stop()
     assert got == {r.job_id: (r.status, r.active_since, r.succeeded_at, r.failed) for r in state.job_indexes(jobs(spark)).collect()}
     s = spark.readStream.schema(jobs(spark).schema).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
