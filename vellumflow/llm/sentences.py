@@ -24,10 +24,17 @@ from vellumflow.runtime import ship_package
 
 #: Marks that may end a sentence, and closing marks that may follow them.
 STOPS = ".!?…。！？｡．।॥؟۔"
-CLOSERS = "\"'”’»“」』】）)\\]›｣"
+CLOSERS = "\"'”’»」』】）)\\]›｣"
 SPACE = " \\t\\r\\n"
 _LETTER = "\\p{L}\\p{M}"
 
+
+def closers(lang: str) -> str:
+    """Closing marks; the mark that opens quotations elsewhere closes them in German."""
+    return CLOSERS + "“" if lang == "de" else CLOSERS
+
+
+
 #: Abbreviations that a sentence goes on after, whatever follows, by language. A point after each is meant.
 NEVER_LAST = {
     "en": "Mr Mrs Ms Dr Prof St Sec Fig Figs Eq No Nos no nos Vol vol pp ch Ch cf vs approx ca Rev Gen Sen Gov e\\.g i\\.e viz resp ed eds Ed Eds Jan Feb Mar Apr Jun Jul Aug Sep Sept Oct Nov Dec",
@@ -89,9 +96,9 @@ def own_rules(lang: str) -> list[Rule]:
     return rules
 
 
-def shared_rules() -> list[Rule]:
+def shared_rules(lang: str) -> list[Rule]:
     """The tables that every language goes on to."""
-    stop, close, gap = f"[{STOPS}]+", f"[{CLOSERS}]*", f"[{SPACE}]"
+    stop, close, gap = f"[{STOPS}]+", f"[{closers(lang)}]*", f"[{SPACE}]"
     opening = "[\"“„«‚‘'(\\[¿¡•▪「『（]"
     return [
         # what follows says that the sentence goes on
@@ -132,9 +139,9 @@ def cascade(lang: str, cased: bool):
     """The rules of a language as one expression: group i matches where rule i does; and which rules break."""
     import regex
 
-    rules = own_rules(lang) + shared_rules()
+    rules = own_rules(lang) + shared_rules(lang)
     if not cased:
-        rules = own_rules(lang) + [UNCASED if not b and a == "\\p{Ll}" and "{0,14}" not in a else (b, x, a) for b, x, a in shared_rules()]
+        rules = own_rules(lang) + [UNCASED if not b and a == "\\p{Ll}" and "{0,14}" not in a else (b, x, a) for b, x, a in shared_rules(lang)]
     # the group of a rule is empty and stands at the position itself
     return regex.compile("|".join(f"(?<={before})(?={after})()" for _, before, after in rules), regex.DOTALL), [b for b, _, _ in rules]
 
@@ -154,10 +161,9 @@ def _expressions():
         regex.compile("\\[[^\\[\\]]{1,800}\\]"),
         regex.compile("（[^（）]{1,800}）"),
     ]
-    candidates = regex.compile(f"[{STOPS};;]+[{CLOSERS}]*[{SPACE}]*(?=[^{SPACE}])")
+    candidates = {de: regex.compile(f"[{STOPS};;]+[{closers('de' if de else '')}]*[{SPACE}]*(?=[^{SPACE}])") for de in (False, True)}
     thai = regex.compile(f"(?<=[\\p{{Thai}}”\"’)».!?])[{SPACE}]+(?=[\\p{{Thai}}“\"‘(«])")
-    word = regex.compile(f"[^{SPACE}]+")
-    return spans, candidates, thai, word
+    return spans, candidates, thai
 
 
 def language(tag: str | None, text: str) -> str:
@@ -191,21 +197,17 @@ def sentences(text: str | None, tag: str | None = None) -> list[tuple[int, int]]
     """(start, end) of each sentence, outer separators not included. Null, empty and blank texts have none."""
     if not text:
         return []
-    spans, candidates, thai, _ = _expressions()
+    spans, candidates, thai = _expressions()
     lang = language(tag, text)
     rules, breaks = cascade(lang, any(c.isupper() for c in text))
     shut: list[tuple[int, int]] = []
     for s in spans:
         shut += [m.span() for m in s.finditer(text)]
     ends: list[int] = []
-    for m in candidates.finditer(text):
+    for m in candidates[lang == "de"].finditer(text):
         at = m.end()
-        if ";" in m[0] or ";" in m[0]:
-            if lang != "el" and not m[0].strip(";; \t\r\n"):
-                continue
-        elif m[0][-1] not in " \t\r\n":
-            # no space follows: a rule decides at the end of the marks
-            pass
+        if lang != "el" and not m[0].strip(";; \t\r\n"):
+            continue
         got = rules.match(text, at)
         if got and breaks[got.lastindex - 1]:
             ends.append(at)
