@@ -119,6 +119,10 @@ def point_ids(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "chunks").select("chunk_id").distinct().select("chunk_id", ids.uuid5(NAMESPACE, F.col("chunk_id")).alias("point_id"))
 
 
+_POINT_SQL = f"""with c as (select distinct chunk_id from chunks), h as (select chunk_id, sha1(from_hex('{NAMESPACE.hex}') || encode(chunk_id)) as x from c)
+select chunk_id, substr(x, 1, 8) || '-' || substr(x, 9, 4) || '-5' || substr(x, 14, 3) || '-' || lower(to_hex((('0x' || substr(x, 17, 2))::int & 63) | 128)) || substr(x, 19, 2) || '-' || substr(x, 21, 12) as point_id from h"""
+
+
 def page_spans(spark: SparkSession, sf: str) -> DataFrame:
     """Pages of each chunk, from its numbers."""
     pages = F.array_sort(F.array_distinct(F.filter(F.coalesce("page_numbers", F.array().cast("array<int>")), lambda p: p.isNotNull())))
@@ -179,7 +183,7 @@ QUERIES = {
     "chunk_verdicts": (chunk_verdicts, _VERDICT_SQL),
     "retrieval_classes": (retrieval_classes, _CLASS_SQL),
     "chunk_ids": (chunk_ids, _ID_SQL),
-    "point_ids": (point_ids, None),
+    "point_ids": (point_ids, _POINT_SQL),
     "page_spans": (page_spans, _PAGES_SQL),
     "table_texts": (table_texts, None),
     "equation_confidence": (equation_confidence, _EQUATION_SQL),

@@ -166,8 +166,17 @@ _KEY_SQL = r"""select trim(regexp_replace(regexp_replace(lower(strip_accents(tit
 
 
 def strange_words(spark: SparkSession, sf: str) -> DataFrame:
-    t = F.col("text")
-    return table(spark, sf, "documents").select("doc_id", F.size(text.strange_words(t)).alias("n_strange"), F.size(text.broken_words(t)).alias("n_broken"))
+    return table(spark, sf, "documents").select("doc_id", F.size(text.strange_words(F.col("text"))).alias("n_strange"))
+
+
+_FOUR_TIMES = "|".join(c + "{4,}" for c in "abcdefghijklmnopqrstuvwxyz0123456789-")
+_STRANGE_SQL = rf"""with w as (select doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[\p{{L}}\p{{N}}_÷×-]+')) as w from documents), k as (select doc_id, regexp_replace(strip_accents(lower(w)), '^[^\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_]+$', '', 'g') as n from w),
+s as (select doc_id, count_if(length(n) > 2 and (regexp_matches(n, '[^a-z0-9\-]') or length(n) > 28 or regexp_matches(n, '[bcdfghjklmnpqrstvwxyz]{{5,}}') or (length(n) >= 8 and length(regexp_replace(n, '[^aeiou]', '', 'g')) / length(n)::double < 0.25) or regexp_matches(n, '{_FOUR_TIMES}') or regexp_matches(n, '[a-z]+\d+[a-z]+|\d+[a-z]+\d+'))) as n from k group by 1)
+select doc_id, coalesce(n, 0)::integer as n_strange from documents left join s using (doc_id)"""
+
+
+def broken_words(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "documents").select("doc_id", F.size(text.broken_words(F.col("text"))).alias("n_broken"))
 
 
 def acronym_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -197,6 +206,7 @@ QUERIES = {
     "word_pieces": (word_pieces, _PIECES_SQL),
     "heading_numbers": (heading_numbers, _HEADING_SQL),
     "match_keys": (match_keys, _KEY_SQL),
-    "strange_words": (strange_words, None),
+    "strange_words": (strange_words, _STRANGE_SQL),
+    "broken_words": (broken_words, None),
     "acronym_lines": (acronym_lines, _ACRONYM_SQL),
 }
