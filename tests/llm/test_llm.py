@@ -195,7 +195,7 @@ CASES = [
     ("de", ["Am 3. Oktober 2008 gilt das.", "„Stimmt es?“, fragte das Team.", "Vgl. Abb. 30, d. h. hier.", "Ende 2009.", "Neu."]),
     ("fr", ["Selon M. Dupont, c'est fini.", "« Vrai ? » demande l'équipe.", "Le dépôt appartient à X S.A.", "La fin."]),
     ("es", ["¿Por qué?", "A las 9 a. m., la beca llegó.", "¡Fin!", "R. J. Torres observó que sí."]),
-    ("ru", ["По словам д-ра Ivan, рост с 2005 г. по 1996 г.", "План, т. е. схема.", "В т. 5, с. 7, ясно."]),
+    ("ru", ["По словам д-ра Ivan, рост с 2005 г. по 1996 г.", "План, т. е. схема.", "Книги, проезд и т. д.", "В т. 5, с. 7, ясно."]),
     ("el", ["Γιατί μετρά;", "Ο κ. Νίκος ξέρει, π.χ. εδώ.", "Τέλος."]),
 ]
 

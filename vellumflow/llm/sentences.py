@@ -88,6 +88,7 @@ def own_rules(lang: str) -> list[Rule]:
         rules.append((False, f"(?<![\\p{{N}}.,])\\p{{N}}{{1,2}}\\.[{SPACE}]+", f"(?:{MONTHS})\\b"))
         rules.append((False, f"\\b[IVX]+\\.[{SPACE}]+", "\\p{Ll}"))
     if lang == "ru":
+        rules.append((True, f"(?<![{_LETTER}])т\\.[{SPACE}]?[дп]\\.[{SPACE}]+", "[«„“(]?\\p{Lu}"))
         rules.append((True, f"\\p{{N}}[{SPACE}]+г\\.[{SPACE}]+", "[«„“(]?\\p{Lu}"))
     if words:
         rules.append((False, f"(?<![{_LETTER}\\p{{N}}])(?:{words})\\.[{SPACE}]*", "."))
