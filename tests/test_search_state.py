@@ -145,6 +145,9 @@ def test_pairs_of_a_hot_group(spark):
     got = [(r.g, r.a, r.b) for r in group_pairs(df, "g", "m", 7).collect()]
     want = {("hot", a, b) for a in range(50) for b in range(a + 1, 50)} | {("two", 7, 9)}
     assert len(got) == len(want) and set(got) == want
+    hot = [(r.g, r.a, r.b) for r in group_pairs(df, "g", "m", 7, sampled=1, hot_members=20).collect()]
+    assert len(hot) == len(want) and set(hot) == want
+    assert group_pairs(df.limit(0), "g", "m").count() == 0
     large = spark.range(100).toDF("m")
     few = spark.createDataFrame([(3,), (5,)], "m long")
     assert sorted(r.m for r in within(few, large, "m").collect()) == sorted(r.m for r in within(few, large, "m", 1).collect()) == [3, 5]

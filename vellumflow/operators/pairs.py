@@ -5,26 +5,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Members of a group that meet in one join key; larger groups are cut into blocks of about this many.
+from vellumflow.runtime import cut
+
+#: Members of a group that meet under one join key; larger groups are cut into blocks of about this many.
 BLOCK_MEMBERS = 2048
+#: One of so many members is counted to find hot groups, and the estimated size from which a group is hot.
+SAMPLED, HOT_MEMBERS = 64, 32_768
+
+
+def _blocks_met(placed: DataFrame) -> DataFrame:
+    """Pairs (k, a, b) of members placed in blocks (k, m, blocks, own): each two blocks meet under a key of their own."""
+    left = placed.select("k", F.col("m").alias("x"), F.col("own").alias("i"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("j"))
+    right = placed.select("k", F.col("m").alias("y"), F.explode(F.sequence(F.lit(0), "own")).alias("i"), F.col("own").alias("j"))
+    met = left.join(right, ["k", "i", "j"]).where((F.col("i") < F.col("j")) & (F.col("x") != F.col("y")) | (F.col("i") == F.col("j")) & (F.col("x") < F.col("y")))
+    return met.select("k", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
-def group_pairs(df: DataFrame, key: str, member: str, block_members: int = BLOCK_MEMBERS) -> DataFrame:
+def _placed(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("own", F.pmod(F.xxhash64("m"), F.col("blocks")).cast("int"))
+
+
+def group_pairs(df: DataFrame, key: str, member: str, block_members: int = BLOCK_MEMBERS, sampled: int = SAMPLED, hot_members: int = HOT_MEMBERS) -> DataFrame:
     """Rows (key, a, b), a < b: each two different members of each group once a group.
 
-    Groups of one vanish before the join. A group of more than ``block_members`` is cut into blocks and
-    each two blocks meet under a join key of their own, so a hot group spreads over as many tasks as its
-    pairs need. A null key or member makes no pair; repeated rows count once.
+    Hot groups are told from a count of one of ``sampled`` members, which only decides how they run: their members
+    are spread by key and member, never by the key alone, and cut into blocks of about ``block_members`` that meet
+    under join keys of their own. Other groups, of ``hot_members`` or little more, are sized in one shuffle by the
+    key; groups of one vanish there. A null key or member makes no pair; repeated rows count once. ``df`` is read
+    twice: give it from a checkpoint.
     """
     rows = df.select(F.col(key).alias("k"), F.col(member).alias("m")).where("k is not null and m is not null")
+    few = rows.where(F.pmod(F.xxhash64("m"), F.lit(sampled)) == 0).groupBy("k").agg((F.count(F.lit(1)) * sampled).alias("n"))
+    hot = cut(few.where(F.col("n") >= hot_members).select("k", F.ceil(F.col("n") / block_members).cast("int").alias("blocks")))
+    n_hot = hot.count()
+    cold = rows
+    if n_hot:
+        listed = F.broadcast(hot) if n_hot <= 1_000_000 else hot
+        cold = rows.join(listed, "k", "left_anti")
     # one shuffle by the key serves the removal of repeats, the count and, for small groups, the join
-    sized = rows.repartition("k").dropDuplicates(["k", "m"]).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("k"))).where("n > 1")
-    blocks = F.ceil(F.col("n") / block_members).cast("int")
-    placed = sized.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("m"), F.col("blocks")).cast("int"))
-    left = placed.select("k", F.col("m").alias("x"), F.col("own").alias("i"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("j"))
-    right = placed.select("k", F.col("m").alias("y"), F.explode(F.sequence(F.lit(0), "own")).alias("i"), F.col("own").alias("j"))
-    met = left.join(right, ["k", "i", "j"]).where((F.col("i") < F.col("j")) & (F.col("x") != F.col("y")) | (F.col("i") == F.col("j")) & (F.col("x") < F.col("y")))
-    return met.select(F.col("k").alias(key), F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    sized = cold.repartition("k").dropDuplicates(["k", "m"]).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("k"))).where("n > 1")
+    out = _blocks_met(_placed(sized.withColumn("blocks", F.ceil(F.col("n") / block_members).cast("int"))))
+    if n_hot:
+        out = out.unionByName(_blocks_met(_placed(rows.join(listed, "k").repartition("k", "m").dropDuplicates(["k", "m"]))))
+    return out.withColumnRenamed("k", key)
 
 
 def within(small: DataFrame, large: DataFrame, on: str, limit_rows: int = 4_000_000) -> DataFrame:
