@@ -74,7 +74,7 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 #: Most sampled blocks that are broadcast to the blocks; a longer list is joined by shuffle.
-P5_BROADCAST_ROWS = 1_000_000
+P5_BROADCAST_ROWS = 500_000
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -111,8 +111,8 @@ def queries() -> dict[str, Query]:
 _P3_SQL = """with c as (select distinct chunk_id, list_filter(string_split_regex(lower(text), '[ \\t\\r\\n]+'), lambda x: x <> '') as w from chunks where chunk_id is not null and text is not null),
 r as (select distinct chunk_id, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || chr(31) || w[i + 1] || chr(31) || w[i + 2])) as run from c where len(w) > 2),
 n as (select chunk_id, count(*) as n from r group by 1 having count(*) >= 30), k as (select r.* from r join n using (chunk_id)),
-s as (select a.chunk_id as a, b.chunk_id as b, count(*) as both from k a join k b on a.run = b.run and a.chunk_id < b.chunk_id group by 1, 2)
-select s.a as chunk_id_a, s.b as chunk_id_b from s join n x on x.chunk_id = s.a join n y on y.chunk_id = s.b where both >= 0.6 * (x.n + y.n - both)"""
+s as (select a.chunk_id as a, b.chunk_id as b, count(*) as shared from k a join k b on a.run = b.run and a.chunk_id < b.chunk_id group by 1, 2)
+select s.a as chunk_id_a, s.b as chunk_id_b from s join n x on x.chunk_id = s.a join n y on y.chunk_id = s.b where shared >= 0.6 * (x.n + y.n - shared)"""
 _P4_SQL = r"""with u as (select document_id, block_id as unit_id, text from blocks union all select document_id, chunk_id, text from chunks)
 select distinct document_id, unit_id from u where length(text) > 6144 or len(regexp_extract_all(text, '[^ \t\n\r]+')) > 768"""
 
