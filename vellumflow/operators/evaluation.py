@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vellumflow.functions.text import match_key, squash_ws
+from vellumflow.operators.running import running
 
 KS = (1, 3, 5, 10)
 
@@ -69,10 +70,10 @@ def eligible_passages(chunks: DataFrame, low: int = 60, high: int = 420, kinds:
 
 
 def spread(df: DataFrame, k: int, order: str) -> DataFrame:
-    """``k`` rows evenly spread over the order: those at floor(i * n / k)."""
+    """``k`` rows evenly spread over the order, a column of different numbers: those at floor(i * n / k)."""
     if k < 1:
         raise ValueError("k must be positive")
-    counted = df.withColumn("__r", F.row_number().over(Window.orderBy(order)) - 1)
+    counted = running(df.withColumn("__all", F.lit(0)), ["__all"], order, sums={"__r": F.lit(1)}).withColumn("__r", (F.col("__r") - 1).cast("int")).drop("__all")
     n = df.count()
     if n <= k:
         return counted.drop("__r")

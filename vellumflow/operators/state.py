@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vellumflow.operators.running import running
+
 #: States of jobs, in both languages in which they are written.
 ACTIVE = ("na_fila", "processando", "queued", "running")
 DONE = ("concluido", "succeeded")
@@ -61,10 +63,14 @@ def clamp_priority(p: Column, low: int = 0, high: int = 100, default: int = 50)
 
 
 def queue_order(requests: DataFrame, now: Column, resource: str = "resource", base: str = "priority", enqueued: str = "enqueued_at", seq: str = "sequence", **aging) -> DataFrame:
-    """Requests with waited_seconds, effective_priority and position (from 1) in their resource's queue: by effective priority, then sequence."""
+    """Requests with waited_seconds, effective_priority and position (from 1) in their resource's queue: by effective priority, then sequence, a number."""
     waited = (F.unix_micros(now.cast("timestamp")) - F.unix_micros(F.col(enqueued).cast("timestamp"))) / 1e6
     rows = requests.withColumn("waited_seconds", waited).withColumn("effective_priority", effective_priority(F.col(base), waited, **aging))
-    return rows.withColumn("position", F.row_number().over(Window.partitionBy(resource).orderBy("effective_priority", seq)))
+    # the few priorities of a queue are scanned as counts, the requests of one in buckets: a long queue isn't one task
+    sizes = rows.groupBy(resource, "effective_priority").agg(F.count(F.lit(1)).alias("__n"))
+    ahead = sizes.select(resource, "effective_priority", F.coalesce(F.sum("__n").over(Window.partitionBy(resource).orderBy("effective_priority").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__ahead"))
+    placed = running(rows, [resource, "effective_priority"], seq, sums={"__place": F.lit(1)})
+    return placed.join(ahead, [resource, "effective_priority"]).withColumn("position", F.col("__ahead") + F.col("__place")).select(*requests.columns, "waited_seconds", "effective_priority", "position")
 
 
 def queue_status(ordered: DataFrame, held: DataFrame | None = None, resource: str = "resource", request: str = "request_id") -> DataFrame:
