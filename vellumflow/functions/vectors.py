@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from vellumflow.functions.visual import let
+
 
 def dot(a: Column, b: Column) -> Column:
     """Dot product in doubles, summed in order; null where a vector is."""
@@ -44,8 +46,8 @@ def sparse_parts(m: Column) -> Column:
 def hashed_embedding(words: Column, dims: int = 32) -> Column:
     """A deterministic stand-in for an embedding model: word counts in hashed dimensions, made unit length."""
     slots = F.transform(words, lambda w: F.pmod(F.crc32(w), F.lit(dims)))
-    counts = F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda d: F.size(F.filter(slots, lambda s: s == d)).cast("double"))
-    return unit(counts)
+    count = lambda found: F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda d: F.size(F.filter(found, lambda s: s == d)).cast("double"))
+    return let(let(slots, count), unit)
 
 
 def absent_safe_not(p: Column) -> Column:

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellumflow.functions import ids, quality, visual
+from vellumflow.functions import ids, quality, vectors, visual
 from vellumflow.functions.text import count_words
 from vellumflow.operators import chunking, retrieval, structure, toc
 from vellumflow.plans.text_queries import _STRIP, _WORDS, _noise_sql, _sql, _sub
@@ -66,6 +66,14 @@ def structural_chunks(spark: SparkSession, sf: str) -> DataFrame:
     return good
 
 
+def indexed_points(spark: SparkSession, sf: str) -> DataFrame:
+    """Points of one indexing run over all blocks."""
+    from vellumflow.plans.indexing import index_documents
+
+    p = index_documents(_blocks(spark, sf), "run-1").points
+    return p.select("id", "chunk_id", "document_id", "chunk_index", "normalized_type", "searchable", F.size("dense").alias("dims"), F.size("sparse").alias("n_tokens"), F.round(vectors.norm(F.col("dense")), 6).alias("length"))
+
+
 def chunk_report(spark: SparkSession, sf: str) -> DataFrame:
     b = _blocks(spark, sf)
     good, bad = chunking.chunks(b)
@@ -178,6 +186,7 @@ QUERIES = {
     "section_state": (section_state, _section_sql()),
     "page_merges": (page_merges, None),
     "structural_chunks": (structural_chunks, None),
+    "indexed_points": (indexed_points, None),
     "chunk_report": (chunk_report, None),
     "legacy_chunks": (legacy_chunks, None),
     "chunk_verdicts": (chunk_verdicts, _VERDICT_SQL),
