@@ -63,14 +63,14 @@ def normalize_text(c: Column, collapse_newlines: bool = True) -> Column:
     """Text for search: line ends, invisible characters, hyphens at line breaks, quotes, odd spaces and controls put right; digits never change. Null becomes empty."""
     t = F.coalesce(c, F.lit(""))
     t = F.regexp_replace(t, r"\r\n?", "\n")
-    t = F.regexp_replace(t, f"[{INVISIBLE}]", "")
+    t = F.translate(t, INVISIBLE, "")
     t = F.regexp_replace(t, f"([{LATIN}])-\n(?=[a-zà-ÿ])", "$1")
-    t = F.translate(t, "".join(QUOTES) + ODD_SPACES, "".join(QUOTES.values()) + " " * len(ODD_SPACES))
-    t = F.regexp_replace(t, r"[\p{Cc}&&[^\n\t]]", "")
+    controls = "".join(chr(x) for x in [*range(0x9), *range(0xB, 0x20), *range(0x7F, 0xA0)])  # translate drops what has no partner
+    t = F.translate(t, "".join(QUOTES) + ODD_SPACES + controls, "".join(QUOTES.values()) + " " * len(ODD_SPACES))
     if collapse_newlines:
-        t = F.regexp_replace(t, "\n", " ")
-    t = F.regexp_replace(t, "[ \t]+", " ")
-    t = F.regexp_replace(t, " *\n *", "\n")
+        t = F.regexp_replace(t, "[ \t\n]+", " ")
+    else:
+        t = F.regexp_replace(F.regexp_replace(t, "[ \t]+", " "), " *\n *", "\n")
     t = F.regexp_replace(t, rf"([{LATIN}])\s+([,.;:!?])", "$1$2")
     return strip_ws(t)
 
