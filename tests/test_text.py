@@ -1,7 +1,12 @@
+import re
+import unicodedata
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 from vellumflow.functions import ids, quality, text, visual
 from vellumflow.operators.chunking import ChunkConfig
+from vellumflow.plans import catalog
 
 
 def one(spark, value, column, kind="string"):
@@ -143,3 +148,15 @@ def test_config_reports_all_problems():
         ChunkConfig(min_tokens=900, target_tokens=800, max_tokens=700)
     assert "min_tokens" in str(e.value) and "target_tokens" in str(e.value)
     assert ChunkConfig().hash == ChunkConfig().hash != ChunkConfig(min_tokens=81).hash
+
+
+def test_title_keys_of_all_scripts_equal_brute_force(spark, tmp_path):
+    titles = [None, "", "Água – e Terra!", "agua e terra", "Отчёт № 5: Новый район", "Πίνακας της Ελλάδας", "年度報告（第２版）", "データ ガイド", "ｶﾞイド", "ज़िला कार्यक्रम", "น้ำท่วม – ๒๕", "تَقْرِيرٌ سنوي", "تقرير سنوي"]
+    spark.createDataFrame([(str(i), t) for i, t in enumerate(titles)], "doc_id string, title string").write.parquet(f"{tmp_path}/documents.parquet")
+
+    def key(t):
+        folded = "".join(x for x in unicodedata.normalize("NFKD", t or "") if not unicodedata.combining(x))
+        return " ".join(re.sub(r"[^\w\s]", " ", folded.lower()).split())
+
+    got = {r.title_key: r.n_docs for r in catalog.queries()["title_keys"](spark, str(tmp_path)).collect()}
+    assert got == Counter(map(key, titles)) and got[""] == 2 and got["agua e terra"] == 2

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -123,9 +124,33 @@ def fold_accents(c: Column) -> Column:
     return F.translate(c, source, target)
 
 
+#: Compatibility forms of several characters that titles hold.
+_SPELT_OUT = {"ำ": "\u0e4d\u0e32", "ຳ": "\u0ecd\u0eb2", "№": "No", "™": "TM", "ﬁ": "fi", "ﬂ": "fl"}
+
+
+@cache
+def _folding_beyond() -> tuple[str, str]:
+    """As ``_folding``, for the scripts behind U+024F that it leaves out."""
+    source, target, gone = [], [], []
+    for code in [*range(0x250, 0x300), *range(0x370, 0x1E00), *range(0x1F00, 0xD800), *range(0xF900, 0x10000)]:
+        base = "".join(x for x in unicodedata.normalize("NFKD", chr(code)) if not unicodedata.combining(x))
+        if not base:
+            gone.append(chr(code))
+        elif len(base) == 1 and base != chr(code):
+            source.append(chr(code))
+            target.append(base)
+    return "".join(source + gone), "".join(target)
+
+
 def match_key(c: Column) -> Column:
-    """Form for comparing titles: no accents, no punctuation, small letters, single spaces."""
-    return squash_ws(F.regexp_replace(F.lower(fold_accents(F.coalesce(c, F.lit("")))), r"[^\p{L}\p{N}_\s]", " "))
+    """Form for comparing titles in any script: no accents, no punctuation, small letters, single spaces; empty for null.
+
+    Behind U+024F letters are those of NFKD without combining marks, but Hangul syllables and most ligatures stay as they are.
+    """
+    t = F.translate(fold_accents(F.coalesce(c, F.lit(""))), *_folding_beyond())
+    for one, several in _SPELT_OUT.items():
+        t = F.replace(t, F.lit(one), F.lit(several))
+    return squash_ws(F.regexp_replace(F.lower(t), r"[^\p{L}\p{N}_\s]", " "))
 
 
 def numbering_of(c: Column) -> Column:

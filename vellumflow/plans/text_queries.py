@@ -158,13 +158,18 @@ select document_id, block_id, nullif(n, '') as numbering, (case when m <> '' the
 
 
 def match_keys(spark: SparkSession, sf: str) -> DataFrame:
-    """Comparable forms of document titles, by how many documents share one."""
+    """Comparable forms of document titles, by how many documents share one: only titles of characters up to U+024F, which its SQL folds alike; ``title_keys`` takes all."""
     return table(spark, sf, "documents").where(F.col("title").rlike("^[\\x00-\\u024F]*$")).groupBy(text.match_key(F.col("title")).alias("title_key")).agg(F.count(F.lit(1)).alias("n_docs"))
 
 
 _KEY_SQL = r"""select trim(regexp_replace(regexp_replace(lower(strip_accents(title)), '[^\p{L}\p{N}_\s]', ' ', 'g'), '[\t-\r\x1c-\x20\x85\p{Z}]+', ' ', 'g')) as title_key, count(*) as n_docs from documents where regexp_full_match(title, '[\x00-\x{024F}]*') group by 1"""
 
 
+def title_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Comparable forms of all document titles in any script, by how many documents share one; the key is empty without a title."""
+    return table(spark, sf, "documents").groupBy(text.match_key(F.col("title")).alias("title_key")).agg(F.count(F.lit(1)).alias("n_docs"))
+
+
 def strange_words(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", F.size(text.strange_words(F.col("text"))).alias("n_strange"))
 
@@ -206,6 +211,7 @@ QUERIES = {
     "word_pieces": (word_pieces, _PIECES_SQL),
     "heading_numbers": (heading_numbers, _HEADING_SQL),
     "match_keys": (match_keys, _KEY_SQL),
+    "title_keys": (title_keys, None),
     "strange_words": (strange_words, _STRANGE_SQL),
     "broken_words": (broken_words, None),
     "acronym_lines": (acronym_lines, _ACRONYM_SQL),
