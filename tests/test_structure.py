@@ -1,3 +1,4 @@
+import datetime
 import json
 import random
 
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 from vellumflow.functions.text import NUMBERING
 from vellumflow.operators import chunking, structure, toc
 from vellumflow.operators.running import running
+from vellumflow.plans import catalog
 from vellumflow.sources import documents as readers
 
 SMALL = chunking.ChunkConfig(target_tokens=10, max_tokens=20, min_tokens=3, overlap_tokens=3, max_overlap_tokens=6, table_max_tokens=15, list_max_tokens=12, force_split_above_tokens=40)
@@ -156,6 +158,22 @@ def test_legacy(spark):
     assert len(got) > 1 and {r.section for r in got} == {"Seção"} and all(len(r.text) <= 1200 + 250 + 40 for r in got)
 
 
+def block_table(spark, path, rows):
+    """A folder with a table of blocks: (type, text, table_markdown, table_caption) in order."""
+    schema = "document_id string, block_id string, order_index int, block_type string, text string, page_number int, heading_level int, section_path array<string>, section_kind string, chunkable boolean, metadata struct<table_caption: string, table_markdown: string>, ingested_at timestamp"
+    made = [("d", f"b{i}", i, kind, text, 1, None, ["S"], "body", True, (caption, markdown), datetime.datetime(2024, 1, 1)) for i, (kind, text, markdown, caption) in enumerate(rows)]
+    spark.createDataFrame(made, schema).write.parquet(f"{path}/blocks.parquet")
+    return str(path)
+
+
+def test_legacy_takes_every_type(spark, tmp_path):
+    kinds = ["list", "quote", "list_item", "footnote", "reference", "formula", "unknown", None]
+    text = lambda k: f"Bloco do tipo {k} com palavras bastantes para ficar em pé sozinho num texto."
+    sf = block_table(spark, tmp_path, [("HEADING", "Seção", None, None), *((k, text(k), None, None) for k in kinds)])
+    got = catalog.queries()["legacy_chunks"](spark, sf).orderBy("position").collect()
+    assert [r.text for r in got] == [text(k) for k in kinds] and {(r.section, r.type) for r in got} == {("Seção", "paragraph")}
+
+
 def test_page_lists(spark):
     inline = lambda t: [{"type": "text", "content": t}]
     pages = [

@@ -351,6 +351,12 @@ def legacy_chunks(blocks: DataFrame, max_chars: int = 1200, overlap_chars: int =
     return whole.unionByName(split.where(reason() == "aprovado")).select(doc, order, "part", "section", "type", "text")
 
 
+def legacy_type(block_type: Column) -> Column:
+    """Type of a block for ``legacy_chunks`` (P19): headings and tables keep theirs, every other block is a paragraph."""
+    kind = F.lower(block_type)
+    return F.when(kind.isin("heading", "table"), kind).otherwise("paragraph")
+
+
 STRATEGIES: dict[str, Callable[..., object]] = {"structural_tokens": chunks, "legacy": legacy_chunks}
 
 

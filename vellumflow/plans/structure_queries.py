@@ -81,7 +81,7 @@ def chunk_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def legacy_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    b = _blocks(spark, sf).select("document_id", F.col("order_index").alias("position"), F.col("block_type").alias("type"), "text")
+    b = _blocks(spark, sf).select("document_id", F.col("order_index").alias("position"), chunking.legacy_type(F.col("block_type")).alias("type"), "text")
     return chunking.legacy_chunks(b)
 
 
