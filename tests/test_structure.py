@@ -174,6 +174,18 @@ def test_legacy_takes_every_type(spark, tmp_path):
     assert [r.text for r in got] == [text(k) for k in kinds] and {(r.section, r.type) for r in got} == {("Seção", "paragraph")}
 
 
+def test_large_tables_lose_no_lines(spark, tmp_path):
+    markdown = "| a | b |\n| --- | --- |\n" + "\n".join(f"| {i} | x{i} |" for i in range(300))
+    text = f"Quadro 1 . Cadastro\nUnidade: mil\n{markdown}\nFonte: IBGE"
+    bare = words(1100)
+    sf = block_table(spark, tmp_path, [("table", text, None, None), ("table", text, "", ""), ("table", bare, "| a | b |\n| --- | --- |", None), ("table", text, markdown, "Quadro 1 . Cadastro")])
+    got = catalog.queries()["structural_chunks"](spark, sf).orderBy("chunk_index").collect()
+    assert [r.text for r in got[:3]] == [text, text, bare]
+    cut = got[3:]
+    assert len(cut) > 1 and all(r.text.startswith("Quadro 1 . Cadastro\n| a | b |\n| --- | --- |\n") and r.token_count <= 1024 for r in cut)
+    assert "\n".join(line for r in cut for line in r.text.split("\n")[3:]) == "\n".join(markdown.split("\n")[2:])
+
+
 def test_page_lists(spark):
     inline = lambda t: [{"type": "text", "content": t}]
     pages = [

@@ -219,12 +219,14 @@ def drafts(blocks: DataFrame, cfg: ChunkConfig = ChunkConfig()) -> DataFrame:
     single = rows.where("role in ('table', 'list', 'figure')")
     note = F.coalesce(F.col("note"), F.lit(""))
     score = visual.table_quality(F.col("table_html"), F.col("caption"), note, F.col("section_kind"), F.coalesce(F.col("table_markdown"), F.col("text")))
-    markdown = F.coalesce(F.col("table_markdown"), F.when(F.col("text").contains("|"), F.array_join(F.filter(F.split("text", "\n"), lambda x: x.contains("|")), "\n")))
+    given = F.nullif(F.col("table_markdown"), F.lit(""))
+    markdown = F.coalesce(given, F.when(F.col("text").contains("|"), F.array_join(F.filter(F.split("text", "\n"), lambda x: x.contains("|")), "\n")))
     limit = cfg.table_max_tokens
 
     @F.pandas_udf("array<struct<text:string,first:int,last:int,goes_on:boolean>>")
-    def cut_table(m: pd.Series, caption: pd.Series) -> pd.Series:
-        return pd.Series([[dict(zip(("text", "first", "last", "goes_on"), p, strict=True)) for p in _folds.table_pieces(a, b if isinstance(b, str) else None, limit)] for a, b in zip(m, caption, strict=True)])
+    def cut_table(m: pd.Series, caption: pd.Series, whole: pd.Series) -> pd.Series:
+        cut_one = lambda a, b, t: _folds.table_pieces(a, b if isinstance(b, str) else None, limit) or [(t, None, None, False)]
+        return pd.Series([[dict(zip(("text", "first", "last", "goes_on"), p, strict=True)) for p in cut_one(a, b, t)] for a, b, t in zip(m, caption, whole, strict=True)])
 
     list_limit = cfg.list_max_tokens
 
@@ -236,11 +238,12 @@ def drafts(blocks: DataFrame, cfg: ChunkConfig = ChunkConfig()) -> DataFrame:
     tables = single.where("role = 'table'").withColumns({"score": score, "md": markdown})
     if cfg.table_mode == "conditional":
         tables = tables.where(F.col("score") >= cfg.table_min_quality)
-    fits = (count_words(F.col("text")) <= limit) | F.col("md").isNull()
+    # rows are told only by the markdown given with a table; without it the text stays whole, with its caption, source and unit lines
+    fits = (count_words(F.col("text")) <= limit) | given.isNull()
     by_rows = visual.table_rows_text(F.col("md"), F.col("caption"))
     text = F.when((by_rows != "") & (count_words(by_rows) <= limit), by_rows).otherwise(F.col("text")) if cfg.table_mode == "conditional" else F.col("text")
     whole_table = F.array(F.struct(text.alias("text"), F.lit(0).alias("first"), F.size(visual.markdown_rows(F.col("md"))).alias("last"), F.lit(False).alias("goes_on"))).cast(shape)
-    parts = tables.where(fits).withColumn("p", whole_table).unionByName(tables.where(~fits).withColumn("p", cut_table("md", "caption"))).drop("score", "md")
+    parts = tables.where(fits).withColumn("p", whole_table).unionByName(tables.where(~fits).withColumn("p", cut_table("md", "caption", "text"))).drop("score", "md")
     parts = parts.unionByName(single.where("role = 'list'").withColumn("p", cut_list("text")))
     parts = parts.unionByName(single.where("role = 'figure'").withColumn("p", F.array(F.struct("text", F.lit(1).alias("first"), F.lit(1).alias("last"), F.lit(False).alias("goes_on"))).cast(shape)))
     pieces = parts.select("*", F.posexplode("p").alias("part", "q"))

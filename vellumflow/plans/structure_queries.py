@@ -61,8 +61,13 @@ def page_merges(spark: SparkSession, sf: str) -> DataFrame:
     return structure.merge_over_pages(_blocks(spark, sf)).where("merged").select("document_id", "order_index", F.array_join("block_ids", ",").alias("block_ids"), F.array_join("pages", ",").alias("pages"), "text")
 
 
+def _chunk_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """Blocks with the markdown and caption of tables, as chunking reads them."""
+    return _blocks(spark, sf).withColumns({"table_markdown": F.col("metadata.table_markdown"), "caption": F.col("metadata.table_caption")})
+
+
 def structural_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    good, _ = chunking.chunks(_blocks(spark, sf))
+    good, _ = chunking.chunks(_chunk_blocks(spark, sf))
     return good
 
 
@@ -70,12 +75,12 @@ def indexed_points(spark: SparkSession, sf: str) -> DataFrame:
     """Points of one indexing run over all blocks."""
     from vellumflow.plans.indexing import index_documents
 
-    p = index_documents(_blocks(spark, sf), "run-1").points
+    p = index_documents(_chunk_blocks(spark, sf), "run-1").points
     return p.select("id", "chunk_id", "document_id", "chunk_index", "normalized_type", "searchable", F.size("dense").alias("dims"), F.size("sparse").alias("n_tokens"), F.round(vectors.norm(F.col("dense")), 6).alias("length"))
 
 
 def chunk_report(spark: SparkSession, sf: str) -> DataFrame:
-    b = _blocks(spark, sf)
+    b = _chunk_blocks(spark, sf)
     good, bad = chunking.chunks(b)
     return chunking.chunk_report(good, bad, b)
 
