@@ -88,6 +88,14 @@ def test_overlap_is_full_and_cuts_are_natural():
     assert all(p[3] == 64 for p in pieces[1:]) and all(text[p[1] - 1] == "." for p in pieces)
 
 
+def test_long_runs_of_separators_lose_no_token():
+    texts = ["a" + " " * 7000 + "b", "w " * 200 + " " * 5800 + "longtoken" * 10 + " end", " " * 7000 + "a" + "\n" * 13000 + "b c" + " " * 6143 + "x" * 9000 + " " * 7000]
+    for t, pieces in zip(texts, splitting.split_texts(texts), strict=True):
+        check_pieces(t, pieces, splitting.Limits())
+        held = {i for s, e, _, _ in pieces for i in range(s, e)}
+        assert all(i in held for i, c in enumerate(t) if c not in " \t\r\n")
+
+
 def test_split_frame(spark):
     rows = [("d", "u1", "w " * 800, ["S"]), ("d", "u1", "w " * 800, ["S"]), ("d", "u2", "curto", None), ("d", "u3", None, None), ("d", "u4", " " * 7000, None), ("d", "u5", "", None)]
     df = spark.createDataFrame(rows, "document_id string, unit_id string, text string, section_path array<string>").withColumn("piece", F.lit(1))

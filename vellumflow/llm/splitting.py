@@ -103,16 +103,23 @@ def successors(code: np.ndarray, limits: Limits) -> tuple[np.ndarray, np.ndarray
     begin = np.where(lead < states, lead, np.where(inside, states, np.maximum(fresh, states)))
     begin[0] = first[0]
     # a piece from `begin` may end where it has at most `tokens` tokens and `chars` characters
-    token_of = np.searchsorted(ends, begin, side="right")
-    last_token = np.minimum(token_of + limits.tokens, len(ends)) - 1
-    reach = np.minimum(ends[last_token], begin + limits.chars)
     nxt = np.full(len(states), -1, dtype=np.int64)
-    for kind in (natural, ends, grid):
-        if len(kind):
-            at = np.searchsorted(kind, reach, side="right") - 1
-            target = kind[np.maximum(at, 0)]
-            ok = (nxt < 0) & (at >= 0) & (target > states)
-            nxt[ok] = np.searchsorted(states, target[ok])
+    for again in (False, True):
+        if again:
+            # behind a run of separators too long for any successor the overlap is given up
+            stuck = (nxt < 0) & (done < len(starts))
+            if not stuck.any():
+                break
+            begin = np.where(stuck, np.where(inside, states, np.maximum(fresh, states)), begin)
+        token_of = np.searchsorted(ends, begin, side="right")
+        last_token = np.minimum(token_of + limits.tokens, len(ends)) - 1
+        reach = np.minimum(ends[last_token], begin + limits.chars)
+        for kind in (natural, ends, grid):
+            if len(kind):
+                at = np.searchsorted(kind, reach, side="right") - 1
+                target = kind[np.maximum(at, 0)]
+                ok = (nxt < 0) & (at >= 0) & (target > states)
+                nxt[ok] = np.searchsorted(states, target[ok])
     return states, begin, nxt, starts, ends
 
 
