@@ -260,6 +260,19 @@ def test_look_alikes_of_markup_stay(text):
     assert markup.clean(text)[:2] == (text, 0)
 
 
+def test_every_match_of_a_pattern_passes_the_first_test(spark):
+    texts = {
+        "comment": ["<!-- a -->"], "tag": ["<b>"], "entity": ["&amp;"], "fence": ["```"], "code": ["`d`"], "image": ["![a](b)"], "link": ["[a](http://b.c)"], "reflink": ["[^3]", "[nota]: alvo", "a\n[nota]: alvo", "[a][b]"],
+        "strong": ["**a**", "__a__"], "em": ["*a*", *(f"{c}_x_" for c in ("", '"', "“", "\t", "–", "-", "[", "/", "\n", " ", "("))], "half": ["a ** b"], "strike": ["~~a~~"], "heading": ["# a"], "setext": ["a\n==="], "quote": ["> a"],
+        "wikihead": ["== a ==", "      == a =="], "quotes": ["''a''"], "wikilink": ["[[a]]"], "extlink": ["[http://a.b x]", "[ftp://a.b x]"], "template": ["{{a}}"], "wikitable": ["{| a", "|-", "! a !! b"], "magic": ["__TOC__"], "command": ["\\emph"], "escape": ["\\%"], "display": ["$$"], "math": ["$x_2$"],
+    }
+    patterns = dict(markup._COMPILED)
+    assert texts.keys() == patterns.keys() and all(patterns[k].search(t) for k, ts in texts.items() for t in ts)
+    rows = [(k, t) for k, ts in texts.items() for t in ts]
+    got = spark.createDataFrame(rows, "kind string, text string").where(~markup.maybe_marked(F.col("text"))).collect()
+    assert not got
+
+
 def test_sum_product_equals_enumeration():
     p = markup.Potentials({}, {"x": 0.7, "y": -0.4, "z": 1.3}, ((0.5, -0.2), (-0.3, 0.6)))
     node = lambda k, *c: markup.Node(k, 0, 1, None, (), children=list(c))

@@ -75,7 +75,7 @@ _PATTERNS: list[tuple[str, str]] = [
 ]
 _COMPILED = [(k, re.compile(p, re.DOTALL)) for k, p in _PATTERNS]
 #: JVM-side test that lets through every text in which some pattern could match.
-MAYBE = r"[<`*~\\$^]|&[#A-Za-z]|\]\(|\]\[|\[\[|\[http|\{\{|''|__|(?m:^[ \t]{0,3}(?:#|>|=))|(?m:^[ \t]*(?:\{\||\|[-+}]|!))|(?:^|[ \n(])_\S"
+MAYBE = r"[<`*~\\$^]|&[#A-Za-z]|\]\(|\]\[|\[\[|\[(?:http|ftp)|(?m:^\[[^\]\n]+\]:)|\{\{|''|__|(?m:^[ \t]{0,3}(?:#|>|=))|(?m:^[ \t]*==)|(?m:^[ \t]*(?:\{\||\|[-+}]|!))|(?<![\w\\])_\S"
 
 
 @dataclass
