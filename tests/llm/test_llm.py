@@ -260,6 +260,12 @@ def test_look_alikes_of_markup_stay(text):
     assert markup.clean(text)[:2] == (text, 0)
 
 
+def test_words_of_footnotes_stay():
+    assert markup.clean("A vila\\footnote{Vila Marvulêlim} cresce.")[0] == "A vila Vila Marvulêlim cresce."
+    assert markup.clean("\\footnote[2]{Vila Marvulêlim}")[0] == "Vila Marvulêlim"
+    assert markup.clean("A vila\\label{sec} cresce.")[0] == "A vila cresce."
+
+
 def test_every_match_of_a_pattern_passes_the_first_test(spark):
     texts = {
         "comment": ["<!-- a -->"], "tag": ["<b>"], "entity": ["&amp;"], "fence": ["```"], "code": ["`d`"], "image": ["![a](b)"], "link": ["[a](http://b.c)"], "reflink": ["[^3]", "[nota]: alvo", "a\n[nota]: alvo", "[a][b]"],

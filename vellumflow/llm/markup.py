@@ -362,7 +362,13 @@ def _convert(text: str, node: Node, out: list[str], kinds: set[str]) -> None:
     # comments, fences, heading and quotation marks, templates, table and display marks leave nothing
 
 
-_BRACED = re.compile(r"\\(begin|end)\{[^{}]*\}|\\(?:section|subsection|subsubsection|chapter|paragraph|title|caption|textbf|textit|emph|underline|text|mathrm|mathbf)\*?\{([^{}]*)\}|\\(?:cite[pt]?|ref|eqref|label|footnote|includegraphics|vspace|hspace)\*?(?:\[[^\]]*\])?\{([^{}]*)\}")
+_BRACED = re.compile(r"\\(begin|end)\{[^{}]*\}|\\(?:section|subsection|subsubsection|chapter|paragraph|title|caption|textbf|textit|emph|underline|text|mathrm|mathbf|footnote(?:\[[^\]]*\])?)\*?\{([^{}]*)\}|\\(?:cite[pt]?|ref|eqref|label|includegraphics|vspace|hspace)\*?(?:\[[^\]]*\])?\{([^{}]*)\}")
+
+
+def _unwrapped(m: re.Match) -> str:
+    """What stays of a command with braces; the words of a footnote don't grow together with those before it."""
+    kept = "" if m[1] else m[2] or ""
+    return f" {kept}" if kept and m[0].startswith("\\footnote") and not m.string[m.start() - 1 : m.start()].isspace() and m.start() else kept
 
 
 def clean(text: str | None, potentials: Potentials | None = None) -> tuple[str | None, int, list[str]]:
@@ -385,7 +391,7 @@ def clean(text: str | None, potentials: Potentials | None = None) -> tuple[str |
     kinds: set[str] = set()
     out: list[str] = []
     if commands:  # LaTeX commands with braces are unwrapped before the rest, as braces of formulas stay
-        again = _BRACED.sub(lambda m: "" if m[1] else m[2] or "", text)
+        again = _BRACED.sub(_unwrapped, text)
         if again != text:
             rest, _, more = clean(again, potentials)
             return rest, n, sorted({"command", *more})
