@@ -158,10 +158,10 @@ def test_legacy(spark):
     assert len(got) > 1 and {r.section for r in got} == {"Seção"} and all(len(r.text) <= 1200 + 250 + 40 for r in got)
 
 
-def block_table(spark, path, rows):
+def block_table(spark, path, rows, section_kind="body"):
     """A folder with a table of blocks: (type, text, table_markdown, table_caption) in order."""
-    schema = "document_id string, block_id string, order_index int, block_type string, text string, page_number int, heading_level int, section_path array<string>, section_kind string, chunkable boolean, metadata struct<table_caption: string, table_markdown: string>, ingested_at timestamp"
-    made = [("d", f"b{i}", i, kind, text, 1, None, ["S"], "body", True, (caption, markdown), datetime.datetime(2024, 1, 1)) for i, (kind, text, markdown, caption) in enumerate(rows)]
+    schema = "document_id string, block_id string, order_index int, block_type string, text string, page_number int, heading_level int, section_path array<string>, section_kind string, chunkable boolean, bbox array<double>, metadata struct<table_caption: string, table_markdown: string>, ingested_at timestamp"
+    made = [("d", f"b{i}", i, kind, text, 1, None, ["S"], section_kind, True, None, (caption, markdown), datetime.datetime(2024, 1, 1)) for i, (kind, text, markdown, caption) in enumerate(rows)]
     spark.createDataFrame(made, schema).write.parquet(f"{path}/blocks.parquet")
     return str(path)
 
@@ -186,6 +186,15 @@ def test_large_tables_lose_no_lines(spark, tmp_path):
     assert "\n".join(line for r in cut for line in r.text.split("\n")[3:]) == "\n".join(markdown.split("\n")[2:])
 
 
+def test_contents_in_index_and_paragraph_blocks(spark, tmp_path):
+    lines = "1 Um .... 3\n2 Dois .... 5\n3 Três .... 8\n4 Quatro .... 9\n5 Cinco .... 12"
+    for kind, section in (("index", "body"), ("paragraph", "table_of_contents")):
+        sf = block_table(spark, tmp_path / kind, [("heading", "1 Um", None, None), (kind, lines, None, None)], section)
+        got = catalog.queries()["contents_entries"](spark, sf).orderBy("entry_no").collect()
+        assert [(r.title, r.page) for r in got] == [("1 Um", 3), ("2 Dois", 5), ("3 Três", 8), ("4 Quatro", 9), ("5 Cinco", 12)]
+        assert catalog.queries()["toc_report"](spark, sf).count() == 1
+
+
 def test_page_lists(spark):
     inline = lambda t: [{"type": "text", "content": t}]
     pages = [

@@ -180,9 +180,19 @@ q as (select *, count(*) over (partition by document_id, block_id) as n, avg(reg
 select document_id, block_id, (row_number() over (partition by document_id, block_id order by g) - 1)::integer as entry_no, title, page, (case when regexp_extract(title, '^\s*(\d+(?:\.\d+)*)\.?\s+\S', 1) <> '' then least(len(string_split(regexp_extract(title, '^\s*(\d+(?:\.\d+)*)\.?\s+\S', 1), '.')), 6) else 1 end)::integer as level, nullif(regexp_extract(title, '^\s*(\d+(?:\.\d+)*)\.?\s+\S', 1), '') as numbering, lines from q where n >= 3 and ill <= 0.5"""
 
 
+def _contents(blocks: DataFrame) -> DataFrame:
+    """Lists, and the index blocks and paragraphs that may hold a table of contents."""
+    return blocks.where("block_type = 'list'").unionByName(toc.contents_blocks(blocks).where("block_type <> 'list'"))
+
+
+def contents_entries(spark: SparkSession, sf: str) -> DataFrame:
+    """As ``toc_entries``, whose SQL knows only lists, but of index blocks and the paragraphs of a contents section too."""
+    return toc.entries(_contents(_blocks(spark, sf))).select("document_id", "block_id", "entry_no", "title", "page", "level", "numbering", "lines")
+
+
 def toc_report(spark: SparkSession, sf: str) -> DataFrame:
     b = _blocks(spark, sf)
-    report, findings = toc.validate(b, toc.entries(b.where("block_type = 'list'")))
+    report, findings = toc.validate(b, toc.entries(_contents(b)))
     return toc.summary(report, findings)
 
 
@@ -202,5 +212,6 @@ QUERIES = {
     "table_texts": (table_texts, None),
     "equation_confidence": (equation_confidence, _EQUATION_SQL),
     "toc_entries": (toc_entries, _TOC_SQL),
+    "contents_entries": (contents_entries, None),
     "toc_report": (toc_report, None),
 }
