@@ -51,6 +51,30 @@ def test_ids_of_random_texts_and_round_trip():
         assert enc.decode(ids[a:b].tolist()) == t
 
 
+def test_long_words_take_seconds():
+    import time
+
+    enc, rng = tokenizer(), random.Random(6)
+    e = tokens.PartitionEncoder(f"{tokens.TOKENIZER_DIR}/byte_bpe_50k.tiktoken")
+    for text in ("a" * 100_000, "=" * 30_000, "".join(rng.choice("acgt") for _ in range(20_000)), "aab" * 5_000):
+        began = time.time()
+        assert e.encode([text])[0].tolist() == enc.encode_ordinary(text)
+        assert time.time() - began < 5
+
+
+def test_ids_decode_to_their_texts(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(ODD)], "doc_id long, text string")
+    back = tokens.decode_ids(tokens.encode_texts(df, keep=["doc_id"]), keep=["doc_id"]).collect()
+    assert {r.doc_id: r.text for r in back} == {i: t or "" for i, t in enumerate(ODD)}
+    odd = spark.createDataFrame([(1, [60_000, 5]), (2, None), (3, []), (4, [None])], "doc_id long, ids array<int>").withColumn("n", F.lit(1))
+    assert {r.doc_id: r.text for r in tokens.decode_ids(odd, keep=["doc_id"]).collect()} == {1: None, 2: None, 3: "", 4: None}
+    with pytest.raises(ValueError):
+        tokens.decode_ids(odd, keep=["n"], out="n")
+    monkeypatch.chdir(tmp_path)
+    tokens.PartitionEncoder(f"{tokens.TOKENIZER_DIR}/byte_bpe_50k.tiktoken").encode(["palavra"])
+    assert not list(tmp_path.iterdir())
+
+
 # problem 4
 
 

@@ -1,9 +1,9 @@
 """Problem 6: encoding a corpus with a public byte-level BPE tokenizer.
 
 Method: in each partition the distinct pre-tokens become token-position rows in DuckDB; a recursive
-query joins the rows of each word with the merge table and contracts the word's leftmost pair of
-minimum rank until no pair is left; an ordered aggregation gives each word's ids. Documents are then
-put together from their words' ids by array gathering.
+query joins the rows of each word with the merge table and contracts the word's pairs of minimum rank,
+leftmost first, until no pair is left; an ordered aggregation gives each word's ids. Documents are then
+put together from their words' ids by array gathering. An ordered aggregation also decodes.
 
 Two exact reductions keep the recursion small. Each distinct word is encoded once a partition. A word
 is cut before the recursion wherever two neighbouring bytes stand side by side in no token of the
@@ -20,6 +20,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,37 +31,43 @@ from vellumflow.runtime import ship_package
 TOKENIZER_DIR = "/opt/tokenizers"
 #: Fixed value: the pattern that splits text before merges in byte_bpe_50k and byte_bpe_multi_50k.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Words sent through one recursive query, and words remembered in a partition. Both bound memory only.
-SLICE_PIECES = 20_000
+#: Words and bytes sent through one recursive query, and words remembered in a partition. They bound memory only.
+SLICE_PIECES, SLICE_BYTES = 20_000, 250_000
 REMEMBERED_WORDS = 400_000
 #: Characters of text split into words at once.
 SLICE_CHARS = 1_000_000
 
-#: One round of contraction: the pair of least rank and, among equal ones, the leftmost of each word.
+#: A round contracts, in every word, all places of the word's pair of least rank, from the left where they overlap. A merged
+#: token takes part in later ranks only, so this gives what contracting the leftmost place again and again gives. Only the
+#: newest state of a position is kept.
 CONTRACT_SQL = """
-WITH RECURSIVE step(round, piece, pos, tok) AS (
-    SELECT 0, piece, pos, tok FROM start_rows
-  UNION ALL
-    SELECT round + 1, piece, pos, CASE WHEN key = best THEN (best >> 32)::INTEGER ELSE tok END
+WITH RECURSIVE step(piece, pos, tok, gone) USING KEY (piece, pos) AS (
+    SELECT piece, pos, tok, false FROM start_rows
+  UNION
+    SELECT piece, pos, CASE WHEN head THEN best ELSE tok END, coalesce(lag(head) OVER w, false)
     FROM (
-        SELECT *, lag(key) OVER w AS key_before
+        SELECT *, coalesce(merged = best, false) AND (n - coalesce(max(CASE WHEN merged IS DISTINCT FROM best THEN n END) OVER w, 0)) % 2 = 1 AS head
         FROM (
-            SELECT p.*, min(key) OVER (PARTITION BY piece) AS best
+            SELECT p.*, min(merged) OVER (PARTITION BY piece) AS best
             FROM (
-                SELECT s.round, s.piece, s.pos, s.tok, (m.merged::BIGINT << 32) | s.pos AS key
-                FROM (SELECT *, lead(tok) OVER (PARTITION BY piece ORDER BY pos) AS next_tok FROM step) s
+                SELECT s.piece, s.pos, s.tok, s.n, m.merged
+                FROM (SELECT piece, pos, tok, lead(tok) OVER v AS next_tok, row_number() OVER v AS n
+                      FROM recurring.step WHERE NOT gone AND piece IN (SELECT piece FROM step) WINDOW v AS (PARTITION BY piece ORDER BY pos)) s
                 LEFT JOIN merges m ON m.pair = (s.tok::BIGINT << 32) | s.next_tok
             ) p
         ) q
         WHERE best IS NOT NULL
-        WINDOW w AS (PARTITION BY piece ORDER BY pos)
+        WINDOW w AS (PARTITION BY piece ORDER BY pos ROWS UNBOUNDED PRECEDING)
     ) r
-    WHERE key_before IS DISTINCT FROM best
+    WINDOW w AS (PARTITION BY piece ORDER BY pos)
 )
-SELECT piece, list(tok ORDER BY pos) AS ids
-FROM (SELECT *, max(round) OVER (PARTITION BY piece) AS last_round FROM step)
-WHERE round = last_round
-GROUP BY piece
+SELECT piece, list(tok ORDER BY pos) AS ids FROM step WHERE NOT gone GROUP BY piece
+"""
+#: Ordered aggregation of the bytes of each text's ids.
+DECODE_SQL = """
+SELECT row_no, string_agg(hex(bytes), '' ORDER BY place) AS raw, bool_or(bytes IS NULL) AS unknown
+FROM (SELECT i.row_no, i.place, v.bytes FROM id_rows i LEFT JOIN vocab v ON v.id = i.id)
+GROUP BY row_no
 """
 
 
@@ -99,16 +106,22 @@ def _loaded(path: str):
     return vocabulary(path)
 
 
+def connect():
+    """A connection that works in memory alone and writes no file anywhere."""
+    import duckdb
+
+    return duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
+
+
 class PartitionEncoder:
     """Encodes the texts of one partition; ``words`` keeps each distinct word's place in the flat store of ids."""
 
     def __init__(self, path: str):
-        import duckdb
         import regex
 
         self.byte_ids, pairs, merged, self.joinable = _loaded(path)
         self.split = regex.compile(PATTERN).findall
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
+        self.db = connect()
         self.db.register("merge_arrow", pa.table({"pair": pairs, "merged": merged}))
         self.db.execute("CREATE TABLE merges AS SELECT * FROM merge_arrow")
         self.db.unregister("merge_arrow")
@@ -122,9 +135,14 @@ class PartitionEncoder:
     def contract(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of each piece, flat, and how many each has."""
         flat, lengths = [], []
-        for at in range(0, len(pieces), SLICE_PIECES):
-            part = pieces[at : at + SLICE_PIECES]
+        at = 0
+        while at < len(pieces):
+            ahead = np.cumsum([len(p) for p in pieces[at : at + SLICE_PIECES]])
+            part = pieces[at : at + max(1, int(np.searchsorted(ahead, SLICE_BYTES)))]
+            at += len(part)
             sizes = np.fromiter(map(len, part), dtype=np.int64, count=len(part))
+            if sizes[0] > SLICE_BYTES:  # one word longer than a slice has as much room as it needs, about 600 bytes for each of its own
+                self.db.execute(f"SET memory_limit = '{300 + int(sizes[0]) * 600 // 1_000_000}MB'")
             raw = np.frombuffer(b"".join(part), dtype=np.uint8)
             rows = pa.table(
                 {
@@ -256,6 +274,51 @@ def encode_texts(df: DataFrame, text: str = "text", keep: list[str] | None = Non
     return rows.mapInArrow(_encode_batches(path, len(keep), _arrow_schema(fields, last), only_count), schema)
 
 
+def _decode_batches(path: str, schema: pa.Schema):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        db = None
+        for batch in batches:
+            if db is None:
+                db = connect()
+                with open(path, "rb") as f:
+                    pairs = [line.split() for line in f]
+                db.register("v", pa.table({"id": pa.array([int(r) for _, r in pairs], type=pa.int32()), "bytes": pa.array([base64.b64decode(t) for t, _ in pairs], type=pa.binary())}))
+                db.execute("CREATE TABLE vocab AS SELECT * FROM v")
+            lists = batch.column(batch.num_columns - 1)
+            sizes = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            first, start = 0, 0
+            ends = np.cumsum(sizes)
+            texts: list[str | None] = [None if null else "" for null in lists.is_null().to_pylist()]
+            while first < len(sizes):  # as many rows as hold SLICE_BYTES ids, one at least
+                last = max(first + 1, int(np.searchsorted(ends, start + SLICE_BYTES, side="right")))
+                ids = lists.slice(first, last - first).flatten()
+                own = sizes[first:last]
+                db.register("id_rows", pa.table({"row_no": np.repeat(np.arange(first, last), own), "place": np.arange(int(own.sum())), "id": ids}))
+                for row, raw, unknown in db.execute(DECODE_SQL).fetchall():
+                    texts[row] = None if unknown else bytes.fromhex(raw).decode("utf-8", "replace")
+                db.unregister("id_rows")
+                first, start = last, int(ends[last - 1])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, type=pa.string())], schema=schema)
+
+    return run
+
+
+def decode_ids(df: DataFrame, ids: str = "ids", keep: list[str] | None = None, out: str = "text", tokenizer_dir: str = TOKENIZER_DIR, name: str = "byte_bpe_50k") -> DataFrame:
+    """The ``keep`` columns of every row and the text its ids stand for, put together by an ordered aggregation in DuckDB.
+
+    An empty list gives an empty text; a null list, and one with a null or an id that isn't in the vocabulary, gives null.
+    Bytes that are no UTF-8 become U+FFFD. Repeated rows stay; an ``out`` that is also kept is refused. No shuffle.
+    """
+    keep = keep if keep is not None else [c for c in df.columns if c != ids]
+    if out in keep:
+        raise ValueError(f"column {out} is already there")
+    ship_package(df.sparkSession)
+    rows = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{ids}`").cast("array<int>").alias("__ids"))
+    fields = [rows.schema[c] for c in keep]
+    schema = T.StructType([*fields, T.StructField(out, T.StringType())])
+    return rows.mapInArrow(_decode_batches(os.path.join(tokenizer_dir, f"{name}.tiktoken"), _arrow_schema(fields, pa.field(out, pa.string()))), schema)
+
+
 def token_count(text: Column) -> Column:
     """Tokens as TESTDATA.md defines them: runs of characters other than space, tab, LF and CR. JVM-side."""
     return F.coalesce(F.regexp_count(text, F.lit(r"[^ \t\n\r]+")), F.lit(0))
