@@ -251,6 +251,20 @@ def test_sentences_without_spaces_or_capitals():
     assert sentences.sentences(None) == sentences.sentences("") == sentences.sentences(" \n ") == []
 
 
+def test_quotations_and_brackets_of_any_length():
+    inner = "A rede caiu. O valor subiu. " * 400
+    for a, b in ("“”", "«»", "()", "[]", '""'):
+        parts = [f"{a}{inner}Fim.{b}", "Uma frase."]
+        text = " ".join(parts)
+        assert len(parts[0]) > 10_000 and [text[x:y] for x, y in sentences.sentences(text, "pt")] == parts
+
+
+def test_marks_of_further_scripts_and_languages():
+    for tag, parts in (("my", ["မြန်မာ။", "ဘာသာ။"]), ("hy", ["Բարեւ։", "Ինչպես ես։"]), ("am", ["ሰላም።", "እንዴት ነህ፧"]), ("km", ["សួស្តី។", "អរគុណ។"]), ("ro", ["Azi dl. Popescu de la București este cu noi.", "Da."]), ("it", ["Il sig. Rossi è con la figlia di Anna.", "Fine."])):
+        text = " ".join(parts)
+        assert [text[a:b] for a, b in sentences.sentences(text, tag)] == parts
+
+
 def test_sentences_cover_the_text(spark):
     rng = random.Random(10)
     for _ in range(200):

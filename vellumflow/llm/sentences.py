@@ -23,7 +23,7 @@ from vellumflow.llm.tokens import slices
 from vellumflow.runtime import ship_package
 
 #: Marks that may end a sentence, and closing marks that may follow them.
-STOPS = ".!?…。！？｡．।॥؟۔"
+STOPS = ".!?…。！？｡．।॥؟۔" "།༎။៕។։።፧፨᙮᠃᠉᱾᱿꓿꘎꛳꛷﹒﹖﹗︒︕︖‼⁇⁈⁉⸮"
 CLOSERS = "\"'”’»」』】）)\\]›｣"
 SPACE = " \\t\\r\\n"
 _LETTER = "\\p{L}\\p{M}"
@@ -49,6 +49,17 @@ NEVER_LAST = {
     "th": "",
     "zh": "",
     "ja": "",
+    "it": "Sig Sigg Dott Dr Prof Ing Avv On Art art artt cap cfr Cfr fig Fig p pp pag pagg vol Vol n nn ecc sec es ca ed Ed P\\.es p\\. es",
+    "nl": "Dhr Mevr Dr Prof Ir Ing Drs Mr nr Nr blz p pp fig Fig art Art enz bijv ca d\\.w\\.z o\\.a m\\.b\\.t vgl Vgl red",
+    "pl": "dr Dr prof Prof mgr inż ul al nr Nr str s por Por np tzw tj m\\.in r ok godz tab Tab rys Rys art Art św im",
+    "ro": "dl dna d-na d-l Dl Dna dr Dr prof Prof ing str Str bd nr Nr art Art alin lit pag p pp fig Fig vol cap ex etc cca lb cf",
+    "tr": "Dr Prof Doç Yrd Sn Av Bkz bkz vb vd çev Cad Sok No s ss Cilt Şek Tab",
+    "sv": "dr Dr prof Prof kap s sid fig Fig tab Tab t\\. ex bl\\. a d\\. v\\. s jfr Jfr ca nr Nr",
+    "cs": "p pí Dr Prof Ing Mgr ul č str s obr Obr tab Tab např tj tzv resp srov kap",
+    "hy": "",
+    "my": "",
+    "km": "",
+    "am": "",
 }
 #: Names of months that a day and its point may stand before.
 MONTHS = "Januar|Februar|März|April|Mai|Juni|Juli|August|September|Oktober|November|Dezember|Jan|Feb|Mär|Apr|Jun|Jul|Aug|Sep|Okt|Nov|Dez"
@@ -65,6 +76,16 @@ _HINTS = {
     "fr": "le la les des du en et avec par un une sur au dans",
     "de": "der die das des dem den im und mit für auf ist je zur zum",
 }
+#: The same for languages that only a tag brings in, so that untagged texts are told from the ones above.
+_TAGGED_HINTS = {
+    "it": "il la di che e in un una per con del della dei è non sono al",
+    "nl": "de het een en van in is op te dat die voor met zijn niet",
+    "pl": "w i na z do się nie że jest to od po za o",
+    "ro": "de la și în cu pe nu este din pentru o un a al ale",
+    "tr": "ve bir bu için ile da de olarak çok en olan",
+    "sv": "och i att det som en på är av för med till den inte",
+    "cs": "a v na se že je s z do o to pro ve by",
+}
 
 Rule = tuple[bool, str, str]
 
@@ -119,7 +140,7 @@ def shared_rules(lang: str) -> list[Rule]:
         # scripts whose marks need no space
         (True, f"[。！？｡．]+{close}{gap}*", "."),
         (True, f"(?:\\?|!)+{close}{gap}*", "[\\p{Han}\\p{Hiragana}\\p{Katakana}]"),
-        (True, f"[।॥؟۔]+{close}{gap}*", "."),
+        (True, f"[।॥؟۔།༎။៕។։።፧፨᙮᠃᠉᱾᱿꓿꘎꛳꛷﹒﹖﹗︒︕︖]+{close}{gap}*", "."),
         # letters without case
         (True, f"[.!?…]+{close}{gap}+", "[\\p{Arabic}\\p{Devanagari}\\p{Han}\\p{Hiragana}\\p{Katakana}\\p{Thai}\\p{Hangul}\\p{Hebrew}]"),
         # a small letter goes on, unless the text has no capitals
@@ -151,16 +172,17 @@ def cascade(lang: str, cased: bool):
 def _expressions():
     import regex
 
+    # of any length; each stops at the next mark of its kind, so looking for them takes one pass
     spans = [
-        regex.compile("„[^„“”]{1,1500}[“”]"),
-        regex.compile("“[^“”]{1,1500}”"),
-        regex.compile("«[^«»]{1,1500}»"),
-        regex.compile("「[^「」]{1,1500}」"),
-        regex.compile("『[^『』]{1,1500}』"),
-        regex.compile(f"(?<![{_LETTER}\\p{{N}}])\"[^\"]{{1,1500}}\"(?![{_LETTER}\\p{{N}}])"),
-        regex.compile("\\([^()]{1,800}\\)"),
-        regex.compile("\\[[^\\[\\]]{1,800}\\]"),
-        regex.compile("（[^（）]{1,800}）"),
+        regex.compile("„[^„“”]+[“”]"),
+        regex.compile("“[^“”]+”"),
+        regex.compile("«[^«»]+»"),
+        regex.compile("「[^「」]+」"),
+        regex.compile("『[^『』]+』"),
+        regex.compile(f"(?<![{_LETTER}\\p{{N}}])\"[^\"]+\"(?![{_LETTER}\\p{{N}}])"),
+        regex.compile("\\([^()]+\\)"),
+        regex.compile("\\[[^\\[\\]]+\\]"),
+        regex.compile("（[^（）]+）"),
     ]
     candidates = {de: regex.compile(f"[{STOPS};;]+[{closers('de' if de else '')}]*[{SPACE}]*(?=[^{SPACE}])") for de in (False, True)}
     thai = regex.compile(f"(?<=[\\p{{Thai}}”\"’)».!?])[{SPACE}]+(?=[\\p{{Thai}}“\"‘(«])")
@@ -184,6 +206,8 @@ def language(tag: str | None, text: str) -> str:
     best = max(score, key=score.get)
     t = (tag or "").strip().lower()
     t = _NAMES.get(t, t[:2])
+    if t in _TAGGED_HINTS and 2 * sum(w in _tagged_sets()[t] for w in words) >= max(1, score[best]):
+        return t
     if t in score and score[t] * 2 >= score[best]:
         return t
     return best if score[best] else (t if t in NEVER_LAST else "pt")
@@ -194,6 +218,11 @@ def _hint_sets() -> dict[str, frozenset[str]]:
     return {s: frozenset(w.split()) for s, w in _HINTS.items()}
 
 
+@lru_cache(maxsize=1)
+def _tagged_sets() -> dict[str, frozenset[str]]:
+    return {s: frozenset(w.split()) for s, w in _TAGGED_HINTS.items()}
+
+
 def sentences(text: str | None, tag: str | None = None) -> list[tuple[int, int]]:
     """(start, end) of each sentence, outer separators not included. Null, empty and blank texts have none."""
     if not text:
@@ -215,7 +244,12 @@ def sentences(text: str | None, tag: str | None = None) -> list[tuple[int, int]]
     for m in thai.finditer(text):
         ends.append(m.end())
     if shut:
-        ends = [e for e in ends if not any(a < e < b for a, b in shut)]
+        depth = np.zeros(len(text) + 2, dtype=np.int32)
+        a, b = np.array(shut).T
+        np.add.at(depth, a + 1, 1)
+        np.add.at(depth, b, -1)
+        inside = np.cumsum(depth) > 0
+        ends = [e for e in ends if not inside[e]]
     out, start = [], 0
     for e in sorted({*ends, len(text)}):
         a, b = start, e
