@@ -153,6 +153,16 @@ def test_pairs_of_a_hot_group(spark):
     assert sorted(r.m for r in within(few, large, "m").collect()) == sorted(r.m for r in within(few, large, "m", 1).collect()) == [3, 5]
 
 
+def test_spread_pairs_equal_a_join(spark):
+    from vellumflow.operators.pairs import spread_pairs
+
+    members = spark.createDataFrame([("p", i) for i in range(40)] + [("q", i) for i in range(100, 103)] + [("r", 7), ("r", 7), (None, 1), ("q", None)], "cls string, id int")
+    links = spark.createDataFrame([("p", "q"), ("q", "r"), ("p", "x")], "a string, b string")
+    want = sorted([(i, j) for i in range(40) for j in range(100, 103)] + [(j, 7) for j in range(100, 103)])
+    for block in (2048, 8):
+        assert sorted(map(tuple, spread_pairs(links, members, block).collect())) == want
+
+
 def test_stores(spark, tmp_path):
     df = spark.createDataFrame([("k1", b"abc"), ("k2", b"")], "object_key string, content binary")
     back = stores.put_artifacts(df, f"{tmp_path}/a")

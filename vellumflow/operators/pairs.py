@@ -37,25 +37,61 @@ def group_pairs(df: DataFrame, key: str, member: str, block_members: int = BLOCK
     rows = df.select(F.col(key).alias("k"), F.col(member).alias("m")).where("k is not null and m is not null")
     few = rows.where(F.pmod(F.xxhash64("m"), F.lit(sampled)) == 0).groupBy("k").agg((F.count(F.lit(1)) * sampled).alias("n"))
     hot = cut(few.where(F.col("n") >= hot_members).select("k", F.ceil(F.col("n") / block_members).cast("int").alias("blocks")))
-    n_hot = hot.count()
+    n_hot, held = sized(hot)
     cold = rows
     if n_hot:
-        listed = F.broadcast(hot) if n_hot <= 1_000_000 else hot
+        listed = F.broadcast(hot) if held <= BROADCAST_BYTES else hot
         cold = rows.join(listed, "k", "left_anti")
     # one shuffle by the key serves the removal of repeats, the count and, for small groups, the join
-    sized = cold.repartition("k").dropDuplicates(["k", "m"]).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("k"))).where("n > 1")
-    out = _blocks_met(_placed(sized.withColumn("blocks", F.ceil(F.col("n") / block_members).cast("int"))))
+    counted = cold.repartition("k").dropDuplicates(["k", "m"]).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("k"))).where("n > 1")
+    out = _blocks_met(_placed(counted.withColumn("blocks", F.ceil(F.col("n") / block_members).cast("int"))))
     if n_hot:
         out = out.unionByName(_blocks_met(_placed(rows.join(listed, "k").repartition("k", "m").dropDuplicates(["k", "m"]))))
     return out.withColumnRenamed("k", key)
 
 
-def within(small: DataFrame, large: DataFrame, on: str, limit_rows: int = 4_000_000) -> DataFrame:
+def spread_pairs(links: DataFrame, members: DataFrame, block_members: int = BLOCK_MEMBERS) -> DataFrame:
+    """(x, y) for every link (a, b) between classes and each two of their members (cls, id).
+
+    Members of a class beyond ``block_members`` are cut into blocks by their ids; a link meets each block under a join
+    key of its own, so no task holds a class. Classes are counted with partial sums. Repeated members count once; null
+    classes and ids make no pair. ``members`` is read several times: give it from a checkpoint.
+    """
+    once = members.where("cls is not null and id is not null").distinct()
+    large = cut(once.groupBy("cls").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block_members).select("cls", F.ceil(F.col("n") / block_members).cast("int").alias("blocks")))
+    if (size := sized(large))[0]:
+        listed = F.broadcast(large) if size[1] <= BROADCAST_BYTES else large
+        placed = once.join(listed, "cls", "left").withColumn("own", F.coalesce(F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"), F.lit(0)))
+        for side in ("a", "b"):
+            count = listed.select(F.col("cls").alias(side), F.col("blocks").alias(f"n{side}"))
+            links = links.join(count, side, "left").withColumn(f"o{side}", F.explode(F.sequence(F.lit(0), F.coalesce(f"n{side}", F.lit(1)) - 1)))
+    else:
+        placed = once.withColumn("own", F.lit(0))
+        links = links.withColumns({"oa": F.lit(0), "ob": F.lit(0)})
+    left = placed.select(F.col("cls").alias("a"), F.col("own").alias("oa"), F.col("id").alias("x"))
+    right = placed.select(F.col("cls").alias("b"), F.col("own").alias("ob"), F.col("id").alias("y"))
+    return links.select("a", "b", "oa", "ob").join(left, ["a", "oa"]).join(right, ["b", "ob"]).select("x", "y")
+
+
+#: Most bytes of a table that is broadcast.
+BROADCAST_BYTES = 64 << 20
+
+
+def sized(df: DataFrame) -> tuple[int, int]:
+    """Rows of ``df`` and about the bytes they take in memory: 16 a column and what strings, binaries and arrays hold."""
+    long = [f.name for f in df.schema.fields if f.dataType.simpleString() in ("string", "binary")]
+    nested = [f.name for f in df.schema.fields if f.dataType.simpleString().startswith(("array", "struct", "map"))]
+    held = sum((F.coalesce(F.octet_length(f"`{c}`"), F.lit(0)) for c in long), F.lit(0)) + sum((F.coalesce(F.octet_length(F.to_json(F.struct(f"`{c}`"))), F.lit(0)) for c in nested), F.lit(0))
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(held), F.lit(0)).alias("held")).first()
+    return row.n, row.n * 16 * len(df.columns) + row.held
+
+
+def within(small: DataFrame, large: DataFrame, on: str, limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Rows of ``large`` whose ``on`` is in ``small``, whose rows must be distinct and cheap to count.
 
-    A list of at most ``limit_rows`` is broadcast, so that the large side isn't shuffled; beyond that it is
-    a shuffled semi join. ``small`` is counted for this: give it from a checkpoint.
+    A list of at most ``limit_bytes`` is broadcast, so that the large side isn't shuffled; beyond that it is
+    a shuffled semi join. ``small`` is measured for this: give it from a checkpoint.
     """
-    if small.count() <= limit_rows:
+    if sized(small)[1] <= limit_bytes:
         return large.join(F.broadcast(small), on, "left_semi")
     return large.join(small.hint("shuffle_hash"), on, "left_semi")
