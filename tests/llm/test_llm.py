@@ -218,6 +218,36 @@ def test_equal_form_pairs(spark):
     assert sameform.equal_form_pairs(df.limit(0), "doc_id").count() == 0
 
 
+def learned_scores(spark, texts):
+    return sameform.bigram_scores(spark.createDataFrame([(t,) for t in texts], "text string"))
+
+
+def test_search_decides_loose_readings(spark):
+    prose = ["the mind under the sun runs until the kind man gets a gun and milk"] * 40 + ["ο άνθρωπος και η πόλη της νύχτας που δεν τελειώνει ποτέ"] * 40 + ["кто там живёт и как он тут работает"] * 40
+    scores, flat = learned_scores(spark, prose), flat_scores()
+    pairs = [("the mınd", "the mind"), ("the ɡun", "the gun"), ("the sսn", "the sun"), ("the mιnd", "the mind"), ("the rսns until", "the runs until"), ("the mιlк", "the milk")]
+    form = lambda t, s: sameform.Former(s, loose=True).forms([t])[0]
+    assert all(form(a, scores) == form(b, scores) == b for a, b in pairs)
+    assert any(form(a, flat) != form(b, flat) for a, b in pairs)  # without scores other verdicts
+    assert not any(sameform.Former(scores).forms([a]) == sameform.Former(scores).forms([b]) for a, b in pairs)  # nor without loose readings
+    for own in ("η νύχτα που", "как тут", "ısı ve kısa"):  # whole words of another alphabet stay
+        assert form(own, scores) == own or own.startswith("ı")
+
+
+@pytest.mark.parametrize(("a", "b"), [("𝐇𝐞𝐥𝐥𝐨 𝟏𝟐", "Hello 12"), ("𝑥²", "x²"), ("Ⅳ. Ⅼⅼ", "IV. Ll"), ("Ꭺ Ꮋ", "A H"), ("cօde ԁata", "code data"), ("ϲaso", "caso"), ("ℎ", "h")])
+def test_compatibility_letters_and_further_alphabets(a, b):
+    x, y = sameform.Former(flat_scores(), loose=True).forms([a, b])
+    assert x == y == b
+
+
+def test_form_classes(spark):
+    rows = [(1, "caso"), (2, "сaso"), (3, "caso"), (4, "ｃａｓｏ"), (5, "outro"), (6, None), (7, " "), (None, "caso"), (2, "сaso")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.id: (r.class_id, r.n_links) for r in sameform.form_classes(sameform.form_members(df, "doc_id")).collect()}
+    assert set(got) == {1, 2, 3, 4, 5} and len({got[i] for i in (1, 2, 3, 4)}) == 1 and got[1][1] == 2 and got[5][1] == 0
+    assert sameform.form_classes(sameform.form_members(df.limit(0), "doc_id")).count() == 0
+
+
 # problem 5
 
 CASES = [

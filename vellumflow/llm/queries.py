@@ -105,12 +105,17 @@ def p8_found(spark: SparkSession, sf: str) -> DataFrame:
     return sameform.equal_form_pairs(table(spark, sf, "documents"), "doc_id").toDF("doc_id_a", "doc_id_b")
 
 
+def p8_classes(spark: SparkSession, sf: str) -> DataFrame:
+    """Each document's class of texts that read the same, and how many other texts are in it."""
+    return sameform.form_classes(sameform.form_members(table(spark, sf, "documents"), "doc_id")).withColumnRenamed("id", "doc_id")
+
+
 def p8_forms(spark: SparkSession, sf: str) -> DataFrame:
     return sameform.same_form(table(spark, sf, "documents"), keep=["doc_id"])
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p1_statistics, p2_found, p2_text, p3_found, p4_found, p4_pieces, p5_found, p5_sentences, p6_ids, p6_texts, p7_containers, p8_found, p8_forms)}
+    return {f.__name__: f for f in (p1_found, p1_statistics, p2_found, p2_text, p3_found, p4_found, p4_pieces, p5_found, p5_sentences, p6_ids, p6_texts, p7_containers, p8_found, p8_classes, p8_forms)}
 
 
 _P3_SQL = """with c as (select distinct chunk_id, list_filter(string_split_regex(lower(text), '[ \\t\\r\\n]+'), lambda x: x <> '') as w from chunks where chunk_id is not null and text is not null),

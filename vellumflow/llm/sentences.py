@@ -49,7 +49,7 @@ NEVER_LAST = {
     "th": "",
     "zh": "",
     "ja": "",
-    "it": "Sig Sigg Dott Dr Prof Ing Avv On Art art artt cap cfr Cfr fig Fig p pp pag pagg vol Vol n nn ecc sec es ca ed Ed P\\.es p\\. es",
+    "it": "Sig sig Sigg sigg Dott dott Dr Prof Ing Avv On Art art artt cap cfr Cfr fig Fig p pp pag pagg vol Vol n nn ecc sec es ca ed Ed P\\.es p\\. es",
     "nl": "Dhr Mevr Dr Prof Ir Ing Drs Mr nr Nr blz p pp fig Fig art Art enz bijv ca d\\.w\\.z o\\.a m\\.b\\.t vgl Vgl red",
     "pl": "dr Dr prof Prof mgr inż ul al nr Nr str s por Por np tzw tj m\\.in r ok godz tab Tab rys Rys art Art św im",
     "ro": "dl dna d-na d-l Dl Dna dr Dr prof Prof ing str Str bd nr Nr art Art alin lit pag p pp fig Fig vol cap ex etc cca lb cf",
