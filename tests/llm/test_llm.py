@@ -162,6 +162,20 @@ def test_near_duplicates_equal_brute_force(spark):
     assert neardup.near_duplicate_pairs(*empty).count() == 0
 
 
+def test_one_text_many_times(spark):
+    text, other = " ".join(f"w{i}" for i in range(60)), " ".join(f"w{i}" for i in range(2, 62))
+    rows = spark.range(5000).select(F.format_string("c%05d", "id").alias("id"), F.lit(text).alias("text"))
+    rows = rows.unionByName(spark.createDataFrame([("x1", other), ("x2", "fora " * 50)], "id string, text string"))
+    members, links = neardup.near_duplicates(rows, run=3, threshold=0.6, least_runs=30)
+    assert links.count() == 1
+    got = {r.id: (r.cls, r.n_links) for r in neardup.near_duplicate_classes(members, links).collect()}
+    assert len(got) == 5001 and {v[1] for v in got.values()} == {1} and len({v[0] for v in got.values()}) == 2
+    x1 = neardup.near_duplicate_pairs(members.where("id in ('x1', 'c00001', 'c00002', 'c04999')"), links).collect()
+    assert len(x1) == 6
+    between = neardup.spread_pairs(links.select("a", "b"), members.select("id", "cls"))
+    assert between.count() == 5000
+
+
 def test_pruning_keeps_similar_pairs():
     rng = np.random.default_rng(8)
     for share, kept in ((0.6, True), (0.8, True), (0.1, False)):
@@ -407,6 +421,27 @@ def test_local_search_empties_containers():
     assert packing.improve(np.array([], dtype=int), [], 10) == []
 
 
+def test_local_search_beats_best_fit():
+    rng, saved, lower = np.random.default_rng(3), 0, 0
+    for _ in range(60):
+        sizes = rng.integers(250, 450, size=60)  # two or three items a container: best fit leaves room that exchanges gather
+        first = packing.best_fit(sizes, 1000)
+        done = packing.improve(sizes, [list(b) for b in first], 1000)
+        assert len(done) <= len(first) and sorted(i for b in done for i in b) == list(range(60))
+        saved += len(first) - len(done)
+        lower += len(done) < len(first)
+    assert saved >= 3 and lower >= 3
+
+
+def test_repeated_ids_are_spread(spark):
+    items = spark.createDataFrame([(7, 3)] * 3000 + [(i, 5) for i in range(1000, 1400)], "id long, n_tokens long")
+    specs = spark.createDataFrame([(1, 32)], "spec_id int, capacity_tokens int")
+    got = packing.fill_containers(items, specs, group_items=200).toPandas()
+    assert len(got) == 3400 and got.groupby("container_id")["n_tokens"].sum().max() <= 32
+    sevens = got[got["id"] == 7]["container_id"].str.split("-").str[1].value_counts()
+    assert len(sevens) == 17 and sevens.max() < 300
+
+
 def test_fill_frame(spark):
     items = spark.createDataFrame([(i, 7 * i % 31) for i in range(200)] + [(500, None), (None, 3), (501, 100)], "doc_id long, n_tokens long")
     specs = spark.createDataFrame([(1, 32, "a"), (2, 64, "b"), (3, None, "c"), (4, 0, "d")], "spec_id int, capacity_tokens int, purpose string")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellumflow.operators.pairs import group_pairs, within
+from vellumflow.operators.pairs import group_pairs, spread_pairs, within
 from vellumflow.runtime import cut, ship_package
 
 BANDS, ROWS = 50, 4
@@ -209,9 +209,18 @@ def near_duplicates(df: DataFrame, id_col: str = "id", text: str = "text", run:
 
 
 def near_duplicate_pairs(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Pairs of ids (a, b), a < b, spread out from classes: members of linked classes and of one class."""
+    """Pairs of ids (a, b), a < b, spread out from classes: members of linked classes and of one class.
+
+    A class of any number of copies is cut into blocks, so no task holds all its members.
+    """
     of = members.select("id", "cls").distinct()
-    between = links.join(of.select(F.col("cls").alias("a"), F.col("id").alias("x")), "a").join(of.select(F.col("cls").alias("b"), F.col("id").alias("y")), "b")
+    between = spread_pairs(links.select("a", "b"), of).where("x <> y")
     inside = group_pairs(of, "cls", "id").select(F.col("a").alias("x"), F.col("b").alias("y"))
-    both = between.select("x", "y").where("x <> y").unionByName(inside)
+    both = between.unionByName(inside)
     return both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def near_duplicate_classes(members: DataFrame, links: DataFrame) -> DataFrame:
+    """(id, cls, n_links): each record's class and the number of other classes linked with it; no pair of records is made."""
+    ends = links.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count(F.lit(1)).alias("n_links"))
+    return members.select("id", "cls").distinct().join(ends, "cls", "left").select("id", "cls", F.coalesce("n_links", F.lit(0)).alias("n_links"))

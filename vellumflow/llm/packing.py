@@ -20,12 +20,19 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vellumflow.operators.pairs import BROADCAST_BYTES, sized
 from vellumflow.runtime import cut
 
 #: Items of a packing group: enough that the one container a group leaves open is under a thousandth of its room.
 GROUP_ITEMS = 16_384
 #: Rounds of the local search. It ends by itself when a round changes nothing; this bounds its time.
 MAX_ROUNDS = 60
+#: Exchange partners looked at for one place before the next is tried (only those of the same container are passed over), and the
+#: items of a container offered for one or two others, the largest ones, and in pairs for one other, the smallest ones. They bound a
+#: round's time, not what is packed: every item is in a container whatever the search finds.
+PARTNERS, SINGLES, DOUBLES = 24, 12, 6
+#: Shares of the room to be filled that the first of two items taken for one has at most.
+FIRST_SHARES = (0.5, 0.7, 0.85)
 #: Kinds of containers asked for at once; more are refused.
 MAX_SPECS = 1000
 
@@ -87,7 +94,7 @@ class _Open:
         """The largest item of an underfull container other than ``skip`` with a size of at least ``least`` and at most ``most``."""
         at = bisect_left(self.by_size, (most + 1, -1)) - 1
         tries = 0
-        while at >= 0 and self.by_size[at][0] >= least and tries < 24:
+        while at >= 0 and self.by_size[at][0] >= least and tries < PARTNERS:
             if self.of[self.by_size[at][1]] != skip:
                 return self.by_size[at][1]
             at, tries = at - 1, tries + 1
@@ -120,21 +127,21 @@ def improve(sizes: np.ndarray, bins: list[list[int]], capacity: int, max_rounds:
                 j = o.largest(free, 1, b)
                 if j is not None:  # move
                     offer([(j, b)])
-                for i in sorted(o.bins[b], key=lambda i: -sizes[i])[:12]:
+                for i in sorted(o.bins[b], key=lambda i: -sizes[i])[:SINGLES]:
                     s = int(sizes[i])
                     j = o.largest(s + free, s + 1, b)
                     if j is not None:  # one for one
                         offer([(i, o.of[j]), (j, b)])
                         rest = s + free - int(sizes[j])
                     # two for one: two items of other containers for this one
-                    for part in (0.5, 0.7, 0.85):
+                    for part in FIRST_SHARES:
                         first = o.largest(int((s + free) * part), 1, b)
                         if first is None:
                             continue
                         second = o.largest(s + free - int(sizes[first]), max(1, s + 1 - int(sizes[first])), b)
                         if second is not None and second != first:
                             offer([(i, o.of[first]), (first, b), (second, b)])
-                items = sorted(o.bins[b], key=lambda i: sizes[i])[:6]
+                items = sorted(o.bins[b], key=lambda i: sizes[i])[:DOUBLES]
                 for x in range(len(items)):  # one item of another container for two of this one
                     for y in range(x + 1, len(items)):
                         s = int(sizes[items[x]] + sizes[items[y]])
@@ -179,7 +186,8 @@ def fill_containers(items: DataFrame, specs: DataFrame, id_col: str = "id", toke
     ``items`` has an integer id and a number of tokens; rows with a null id or number are left out, a row
     without tokens lies in a container of its group and takes no room, repeated rows are packed each.
     ``specs`` (spec_id, capacity_tokens) is small by nature, a row for each kind of container; rows with a null
-    or non-positive capacity are left out. Items are counted once to choose the number of groups.
+    or non-positive capacity are left out. Items are counted once to choose the number of groups. Rows of an id that is
+    repeated more than a quarter of a group's size are spread over all groups.
     """
     rows = cut(items.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{tokens}`").cast("long").alias("n")).where("id is not null and n is not null"))
     groups = max(1, round(rows.count() / group_items))
@@ -187,7 +195,14 @@ def fill_containers(items: DataFrame, specs: DataFrame, id_col: str = "id", toke
     if len(kinds) > MAX_SPECS:
         raise ValueError(f"more than {MAX_SPECS} kinds of containers")
     wanted = F.array(*[F.struct(F.lit(k.spec_id).alias("spec_id"), F.lit(k.capacity).cast("long").alias("capacity")) for k in kinds]) if kinds else F.array().cast("array<struct<spec_id:int,capacity:long>>")
-    spread = rows.withColumn("group_id", F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int"))
+    # an id may hold a third of all rows; its rows are alike, so it doesn't matter which of them is where
+    hot = cut(rows.groupBy("id").agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > max(1, group_items // 4)).select("id", F.lit(True).alias("hot")))
+    n_hot, held = sized(hot)
+    spread = rows.withColumn("hot", F.lit(False))
+    if n_hot:
+        spread = rows.join(F.broadcast(hot) if held <= BROADCAST_BYTES else hot, "id", "left")
+    salt = F.when(F.coalesce("hot", F.lit(False)), F.monotonically_increasing_id()).otherwise(0)
+    spread = spread.withColumn("group_id", F.pmod(F.xxhash64("id", salt), F.lit(groups)).cast("int"))
     each = spread.select("id", "n", "group_id", F.inline(wanted))
 
     def go(f: pd.DataFrame) -> pd.DataFrame:

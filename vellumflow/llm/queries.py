@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellumflow.llm import markup, neardup, packing, quality, sameform, sentences, splitting, tokens
+from vellumflow.operators.pairs import BROADCAST_BYTES, sized
 from vellumflow.runtime import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +32,12 @@ def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return neardup.near_duplicate_pairs(members, links).toDF("chunk_id_a", "chunk_id_b")
 
 
+def p3_classes(spark: SparkSession, sf: str) -> DataFrame:
+    """Each chunk's class of equal run sets, and how many other classes are near duplicates of it."""
+    members, links = neardup.near_duplicates(table(spark, sf, "chunks"), **P3)
+    return neardup.near_duplicate_classes(members, links).withColumnRenamed("id", "chunk_id")
+
+
 def units(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     """Blocks and chunks under one name: document_id, unit_id and the columns, one row for each row delivered."""
     blocks = table(spark, sf, "blocks").select("document_id", F.col("block_id").alias("unit_id"), *columns)
@@ -78,13 +85,9 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     return p4_pieces(spark, sf).select("document_id", "unit_id").distinct()
 
 
-#: Most sampled blocks that are broadcast to the blocks; a longer list is joined by shuffle.
-P5_BROADCAST_ROWS = 500_000
-
-
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     sample = table(spark, sf, "sentence_sample").groupBy("document_id", "block_id").agg(F.max("lang").alias("lang"))
-    sample = F.broadcast(sample) if sample.count() <= P5_BROADCAST_ROWS else sample
+    sample = F.broadcast(sample) if sized(sample)[1] <= BROADCAST_BYTES else sample
     blocks = table(spark, sf, "blocks").select("document_id", "block_id", "text").join(sample, ["document_id", "block_id"])
     found = sentences.split_sentences(blocks, ["document_id", "block_id"], lang="lang")
     return found.drop("sentence_index").distinct()
@@ -115,7 +118,7 @@ def p8_forms(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p1_statistics, p2_found, p2_text, p3_found, p4_found, p4_pieces, p5_found, p5_sentences, p6_ids, p6_texts, p7_containers, p8_found, p8_classes, p8_forms)}
+    return {f.__name__: f for f in (p1_found, p1_statistics, p2_found, p2_text, p3_found, p3_classes, p4_found, p4_pieces, p5_found, p5_sentences, p6_ids, p6_texts, p7_containers, p8_found, p8_classes, p8_forms)}
 
 
 _P3_SQL = """with c as (select distinct chunk_id, list_filter(string_split_regex(lower(text), '[ \\t\\r\\n]+'), lambda x: x <> '') as w from chunks where chunk_id is not null and text is not null),
