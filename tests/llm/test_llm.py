@@ -361,6 +361,55 @@ def test_every_match_of_a_pattern_passes_the_first_test(spark):
     assert not got
 
 
+STRUCTURED = [
+    ("## Title\ntext **b**", "## Title\ntext b"), ("x <h2>A <i>b</i></h2> y", "x\n## A b\n y"), ("```py\nx = **2** # <b>&amp;\n```\nfim **a**", "```py\nx = **2** # <b>&amp;\n```\nfim a"), ("`a*b*` e <b>c</b>", "`a*b*` e c"),
+    ("<table><tr><th>A</th><th>B</th></tr><tr><td>1</td><td>&lt;2</td></tr></table>", "| A | B |\n| --- | --- |\n| 1 | <2 |"), ("vale $\\frac{a}{b}$ e \\frac{c}{d} sim", "vale $\\frac{a}{b}$ e \\frac{c}{d} sim"),
+    ("$$ x_{1} = **2** $$\n\\[ y \\] \\(z\\)", "$$ x_{1} = **2** $$\n$$ y $$ $z$"), ("\\begin{equation}\na = \\frac{1}{2}\n\\end{equation} fim", "$$\na = \\frac{1}{2}\n$$ fim"), ("\\begin{itemize}\n\\item um\n\\item dois\n\\end{itemize}", "- um\n- dois"),
+    ("\\section{Um} \\textbf{b \\emph{c}} d", "## Um\n b c d"), ("<ol><li>um</li><li>dois</li></ol>", "1. um\n2. dois"), ("<ul><li>um</li><li>dois</li></ul>", "- um\n- dois"), ("== H ==\n@A @@b@@ c@ [[V|T]]".replace("@@", "''").replace("@", "'" * 3), "## H\nA b c T"),
+    ("Nome\n=====\nfim", "# Nome\n\nfim"), ("{| class=x\n|-\n! a !! b\n|-\n| 1 || 2\n|}", "| a | b |\n| --- | --- |\n| 1 | 2 |"), ("<pre>a &lt; b\n  c</pre>", "```\na < b\n  c\n```"), ("\\href{http://a.b}{texto} fim", "texto fim"),
+]
+
+
+@pytest.mark.parametrize(("text", "want"), STRUCTURED)
+def test_structure_is_kept(text, want):
+    got, n, _ = markup.clean(text, form="structured")
+    assert got.strip("\n") == want and n > 0
+    again = markup.clean(got, form="structured")[0]
+    assert again == got  # what was made of marks is stable
+
+
+def test_marks_of_any_length():
+    for k, text in (("em", "*" + "a" * 1000 + "*"), ("strong", "**" + "b c" * 1000 + "**"), ("template", "{{" + "x\n" * 1000 + "}}"), ("wikilink", "[[" + "y" * 900 + "]]"), ("math", "$x_" + "z" * 900 + "$"), ("strike", "~~" + "d" * 2000 + "~~"), ("quotes", "''" + "e" * 2000 + "''"), ("reflink", "[^" + "n" * 90 + "]")):
+        got, n, kinds = markup.clean(f"Um {text} fim.")
+        assert n >= 1 and k in kinds and not set("*{}[]$~'") & set(got), k
+
+
+def test_many_open_marks_take_no_time():
+    import time
+
+    for text in ("**a " * 8000, "<b " * 8000, "\\a{" * 8000, "''a " * 8000, "$1 " * 8000, "[[a " * 8000, "{{a " * 8000, "~~a " * 8000, "\\a" * 8000):
+        began = time.time()
+        markup.tree(text)
+        assert time.time() - began < 3, text[:5]
+
+
+def test_any_candidate_passes_the_first_test(spark):
+    rng = random.Random(13)
+    bits = ["<", ">", "b", "/", "*", "**", "_", "`", "~", "~~", "#", "=", "==", "===", "[", "]", "(", ")", "^", "!", "|", "{", "}", "{{", "}}", "'", "''", "\\", "$", "$$", "&", ";", "amp", "x", "1", " ", "\n", '"', "—", "é", ":", "http://a", "ftp://b", "TOC", "-", "+", "%"]
+    texts = sorted({"".join(rng.choice(bits) for _ in range(rng.randint(1, 9))) for _ in range(20000)})
+    marked = [t for t in texts if markup.candidates(t)]
+    assert len(marked) > 2000
+    assert spark.createDataFrame([(t,) for t in marked], "text string").where(~markup.maybe_marked(F.col("text"))).collect() == []
+
+
+def test_coupling_decides():
+    p = markup.trained()
+    for text, whole in (("\\emph{x} e \\cite{y} em {um} dois", "x e  em um dois"), ("<p>um</p><br><nota>dois</nota> <hr>", "um\n\ndois"), ("12~15 e <não dito>", "12~15 e <não dito>"), ("C:\\base\\occ diz [sic] aqui", "C:\\base\\occ diz [sic] aqui")):
+        assert markup.clean(text, p)[0].strip() == whole
+    flipped = [t for t in ("C:\\base\\occ diz [sic] aqui", "D:\\a1 {nota} b", "\\\\vila\\casa [sic]", "<não dito> p.~3", "<não dito> {um} dois") if (markup.clean(t, p)[1] > 0) != (markup.clean(t, p.uncoupled())[1] > 0)]
+    assert len(flipped) >= 2 and all(markup.clean(t, p)[1] == 0 for t in flipped)
+
+
 def test_sum_product_equals_enumeration():
     p = markup.Potentials({}, {"x": 0.7, "y": -0.4, "z": 1.3}, ((0.5, -0.2), (-0.3, 0.6)))
     node = lambda k, *c: markup.Node(k, 0, 1, None, (), children=list(c))
@@ -377,6 +426,26 @@ def test_sum_product_equals_enumeration():
     assert [n.residue for n in (a, b, c, d)] == pytest.approx([x / total for x in on], abs=1e-6)
 
 
+def test_sum_product_with_kinds_of_markup_equals_enumeration():
+    p = markup.trained()
+    root = markup.tree("<b>um **dois**</b> {x} [y](http://a.b) <não> \\emph{z}")
+    nodes, stack = [], list(root.children)
+    while stack:
+        n = stack.pop()
+        nodes.append(n)
+        stack += n.children
+    markup.marginals(root, p)
+    total, on = 0.0, [0.0] * len(nodes)
+    for r in range(len(markup.ROOTS)):
+        for labels in itertools.product((0, 1), repeat=len(nodes)):
+            of = {id(n): y for n, y in zip(nodes, labels, strict=True)}
+            w = p.roots[r] + sum((y - 0.5) * p.of(n) for n, y in zip(nodes, labels, strict=True))
+            w += sum(p.edge(q, c)[r if q is root else of[id(q)]][of[id(c)]] for q in (root, *nodes) for c in q.children)
+            total += np.exp(w)
+            on = [x + np.exp(w) * y for x, y in zip(on, labels, strict=True)]
+    assert [n.residue for n in nodes] == pytest.approx([x / total for x in on], abs=1e-6)
+
+
 def test_model_on_held_out_pages():
     right = seen = 0
     for text, spans in markup.labelled_pages(150, seed=99):

@@ -63,10 +63,10 @@ def _typed_units(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p2_text(spark: SparkSession, sf: str) -> DataFrame:
-    """Clean text of every block and chunk; formulas stay as they are."""
+    """Clean text of every block and chunk, with headings, lists, tables, code and formulas in one form; formula units stay as they are."""
     rows = _typed_units(spark, sf)
     texts = rows.where("not is_formula").drop("is_formula")
-    done = markup.strip_markup(texts, keep=["document_id", "unit_id"])
+    done = markup.strip_markup(texts, keep=["document_id", "unit_id"], form="structured")
     formulas = rows.where("is_formula").select("document_id", "unit_id", F.col("text").alias("clean_text"), F.lit(0).alias("n_marks"), F.array().cast("array<string>").alias("mark_kinds"))
     return done.unionByName(formulas)
 
