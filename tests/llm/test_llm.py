@@ -545,6 +545,36 @@ def test_prose_model_on_held_out_texts():
     assert (got == np.array([p > 0.5 for _, p in held])).mean() > 0.97
 
 
+def laid_out(rng, aligned):
+    """The same words and gaps; only in one of the two do gaps stand in the same columns of all lines."""
+    words = [w for _ in range(6) for w in f"o {rng.choice(['valor', 'plano', 'custo'])} de {rng.choice(['rede', 'bairro', 'vila'])} mediu a {rng.choice(['obra', 'ponte'])}".split()]
+    lines = []
+    for i in range(0, len(words) - 3, 4):
+        cells = words[i : i + 4]
+        gaps = [11 - len(c) for c in cells[:3]]
+        if not aligned:
+            total = sum(gaps)
+            cut = sorted(rng.sample(range(2, total - 1), 2))
+            gaps = [cut[0], max(1, cut[1] - cut[0]), max(1, total - cut[1])]
+        lines.append("".join(c + " " * g for c, g in zip(cells, [*gaps, 0], strict=True)))
+    return "\n".join(lines)
+
+
+def test_structure_decides():
+    rng = random.Random(14)
+    rows = [(laid_out(rng, i % 2 == 0), float(i % 2)) for i in range(640)]
+    texts, prose = [t for t, _ in rows], np.array([p for _, p in rows])
+    right = {}
+    for without in ((), quality.STRUCTURE):
+        model = quality.fit(texts[:400], prose[:400], without=without)
+        right[without] = ((model.prose(quality.statistics(texts[400:], model.tables)) > 0.5) == (prose[400:] > 0.5)).mean()
+    assert right[()] > 0.95 and right[quality.STRUCTURE] < right[()] - 0.1
+    col = {c: i for i, c in enumerate(quality.NAMES)}
+    s = quality.statistics(["ab   cd   ef\nxy   zw   uv\nmn   op   qr", "ab cd   ef\nxyz   w uv\nm   nopq r", "- a\n  b\n  c\n- d\n  e\n  f\n- g\n  h\n  i\n- j\n  k\n  l", "| a | b |\n| c | d |"])
+    assert s[0, col["delimiter_columns"]] == 1 and s[1, col["delimiter_columns"]] == 0 and s[3, col["delimiter_columns"]] == 1
+    assert s[2, col["begin_spectrum"]] > 0.5 > s[0, col["begin_spectrum"]]
+
+
 def test_statistics_of_single_texts_equal_those_of_a_batch():
     texts = [t for t, _ in labelled()[:30]] + ["", "x", "\n\n", None, "日本語。テスト。"]
     together = quality.statistics(texts)

@@ -1,8 +1,10 @@
 """Problem 1: text statistics that tell natural prose from lists, tables and junk.
 
-Method: structure is read off the lines of a text. Vertical delimiter alignment compares the delimiters of
-neighbouring lines, indentation periodicity the way lines begin, and line-length autocorrelation how lengths
-follow one another; with them go word, symbol and punctuation ratios, shares of lines that end in punctuation
+Method: structure is read off the lines of a text. Vertical delimiter alignment is the share of delimiters (pipes, tabs,
+gaps, ends of numbers) that stand in the same column of the next line, and the share of lines with as many as the next.
+Periodicity comes from spectra: how often lines that are one to eight lines apart begin alike or are indented alike, and
+the autocorrelation of line lengths over these lags, are turned into power by frequency, of which the highest peak
+against the mean counts. With them go word, symbol and punctuation ratios, shares of lines that end in punctuation
 and of common words, repetition, and two word statistics learned from labelled chunks: which word endings
 running sentences have, and how words follow one another in them as against the same words shuffled. An
 additive model over binned statistics, fitted on a bounded sample of labelled chunks, gives the probability
@@ -44,12 +46,16 @@ COMMON = (
 LOWER, UPPER, CASELESS, DIGIT, SPACE, BREAK, STOP, COMMA, SEMICOLON, PIPE, BRACKET, DASH, BULLET, SYMBOL, MARK, TAB, SLASH, BROKEN = range(18)
 NAMES = [
     "lower", "upper", "caseless", "digit", "space", "stop", "comma", "semicolon", "pipe", "bracket", "dash", "bullet", "symbol", "tab", "slash", "broken",
-    "chars_log", "lines_log", "line_mean", "line_spread", "line_long", "length_autocorrelation", "length_like_next", "alignment", "column_alignment", "begin_period", "begin_period2", "marked_lines", "numbered_lines",
+    "chars_log", "lines_log", "line_mean", "line_spread", "line_long", "length_autocorrelation", "length_like_next", "alignment", "column_alignment", "delimiter_columns", "number_columns", "begin_period", "begin_period2", "begin_spectrum", "indent_spectrum", "length_spectrum", "length_lags", "marked_lines", "numbered_lines",
     "lines_end_stop", "lines_end_word", "leaders", "gaps", "words_log", "word_mean", "word_longest", "digit_words", "single_words", "capital_words", "common_words", "distinct_words", "repeated_words",
     "stops_per_word", "between_stops", "in_sentences", "colon_lines", "years", "endings", "order",
 ]
 
 
+#: The statistics of the lines' structure.
+STRUCTURE = ("length_autocorrelation", "length_like_next", "alignment", "column_alignment", "delimiter_columns", "number_columns", "begin_period", "begin_period2", "begin_spectrum", "indent_spectrum", "length_spectrum", "length_lags")
+
+
 @lru_cache(maxsize=1)
 def _classes() -> tuple[np.ndarray, np.ndarray]:
     """Class and lower-case form of each code point."""
@@ -145,6 +151,24 @@ def _word_classes(prefix: np.ndarray, a: np.ndarray, b: np.ndarray, hashed: np.n
     return np.where(common[at] == hashed, at, out)
 
 
+#: Lines apart over which lines are compared, and the cosines that turn values by lag into power by frequency.
+LAGS = 8
+_COSINES = np.cos(np.pi * np.outer(np.arange(1, LAGS + 1), np.arange(1, LAGS + 1)) / LAGS)
+
+
+def _spectral_peak(by_lag: np.ndarray) -> np.ndarray:
+    """Highest power over all frequencies of each row of values by lag, taken about their mean, as a share of their size."""
+    centred = by_lag - by_lag.mean(axis=1, keepdims=True)
+    return (centred @ _COSINES).max(axis=1) * 2 / LAGS
+
+
+def _in_next_line(line: np.ndarray, column: np.ndarray, slack: int) -> np.ndarray:
+    """Which of the marks, in order of line and column, have one in the next line within ``slack`` columns."""
+    key = line * (1 << 32) + column
+    low = np.searchsorted(key, key + (1 << 32) - slack, side="left")
+    return np.searchsorted(key, key + (1 << 32) + slack, side="right") > low
+
+
 def statistics(texts: list[str | None], tables: WordTables | None = None, want_words: bool = False):
     """Matrix of NAMES for each text (the last two are 0 without tables); with ``want_words`` also the word classes, and the text of each."""
     kind_of, low_of = _classes()
@@ -217,10 +241,33 @@ def statistics(texts: list[str | None], tables: WordTables | None = None, want_w
     spaces = count(kind == SPACE)
     out[:, col["column_alignment"]] = over_pairs((digits_in[1:] > 0) & (digits_in[:-1] > 0) & (np.abs(spaces[1:] - spaces[:-1]) <= 2) & (length[1:] < 110))
     out[:, col["gaps"]] = share(gaps >= 2)
+    is_digit = kind == DIGIT
+    gap_end = (kind == SPACE) & ~wide & np.concatenate([[False], kind[:-1] == SPACE])
+    goes_on = np.concatenate([same, [False]]) if len(of) else same  # lines with a next one
+    for name, marks, slack in (("delimiter_columns", (kind == PIPE) | (kind == TAB) | gap_end, 1), ("number_columns", is_digit & ~np.concatenate([is_digit[1:], [False]]), 0)):
+        at = np.flatnonzero(marks)
+        line = np.searchsorted(starts, at, side="right") - 1
+        inside = (line >= 0) & (at <= last[np.maximum(line, 0)]) if len(starts) else np.zeros(len(at), dtype=bool)
+        at, line = at[inside], line[inside]
+        met = _in_next_line(line, at - starts[line], slack)
+        counted = goes_on[line]
+        who = of[line][counted]
+        out[:, col[name]] = np.bincount(who, weights=met[counted].astype(float), minlength=n) / np.maximum(1, np.bincount(who, minlength=n))
     begin = kind[first].astype(np.int64) * 64 + np.minimum(first - starts, 63)
     out[:, col["begin_period"]] = over_pairs(begin[1:] == begin[:-1])
     same2 = of[2:] == of[:-2]
     out[:, col["begin_period2"]] = np.bincount(of[2:][same2], weights=(begin[2:] == begin[:-2])[same2].astype(float), minlength=n) / np.maximum(1, np.bincount(of[2:][same2], minlength=n))
+    indent = first - starts
+    alike, indented, lengths = (np.zeros((n, LAGS)) for _ in range(3))
+    for lag in range(1, LAGS + 1):
+        own = of[lag:] == of[:-lag]
+        who = of[lag:][own]
+        pairs_of = np.maximum(1, np.bincount(who, minlength=n))
+        alike[:, lag - 1] = np.bincount(who, weights=(begin[lag:] == begin[:-lag])[own].astype(float), minlength=n) / pairs_of
+        indented[:, lag - 1] = np.bincount(who, weights=((indent[lag:] == indent[:-lag]) & (indent[lag:] > 0))[own].astype(float), minlength=n) / pairs_of
+        lengths[:, lag - 1] = np.bincount(who, weights=(centred[lag:] * centred[:-lag])[own], minlength=n) / pairs_of / np.maximum(1, spread**2)
+    out[:, col["begin_spectrum"]], out[:, col["indent_spectrum"]], out[:, col["length_spectrum"]] = _spectral_peak(alike), _spectral_peak(indented), _spectral_peak(lengths)
+    out[:, col["length_lags"]] = np.abs(lengths).mean(axis=1)
     second = kind[np.minimum(first + 1, len(code) - 1)]
     third = kind[np.minimum(first + 2, len(code) - 1)]
     k1 = kind[first]
@@ -384,8 +431,8 @@ def altered(text: str, how: int, rng: np.random.Generator) -> tuple[str, bool] |
     return (_PUNCTUATION.sub("", mixed).lower() if how == 4 else mixed), False
 
 
-def fit(texts: list[str], prose: np.ndarray, penalty: float = 2.0, folds: int = 4) -> ProseModel:
-    """Model from texts and each one's share of prose labels.
+def fit(texts: list[str], prose: np.ndarray, penalty: float = 2.0, folds: int = 4, without: tuple[str, ...] = ()) -> ProseModel:
+    """Model from texts and each one's share of prose labels; ``without`` names statistics that have no say.
 
     Each text of prose also takes part, with half the weight, in two altered forms. Word tables enter the fit
     out of fold, as they'd fit their own texts too well.
@@ -419,6 +466,8 @@ def fit(texts: list[str], prose: np.ndarray, penalty: float = 2.0, folds: int =
             c = classes[i]
             stats[i, -2] = tables.endings[c].sum() / max(1, len(c))
             stats[i, -1] = tables.order[c[:-1], c[1:]].sum() / max(1, len(c))
+    for name in without:
+        stats[:, NAMES.index(name)] = 0.0
     edges, w = _fit_additive(stats, prose, weight, penalty)
     return ProseModel(learn_tables(classes[:labelled], prose[:labelled]), edges, w)
 
@@ -480,8 +529,8 @@ def text_statistics(df: DataFrame, model: ProseModel | None, text: str = "text",
                 symbols = s[:, [col[c] for c in ("pipe", "bullet", "symbol", "slash", "broken", "dash")]].sum(axis=1)
                 values = {
                     "chars": sizes, "words": np.rint(np.expm1(s[:, col["words_log"]])).astype(np.int32), "mean_word_length": np.expm1(s[:, col["word_mean"]]), "symbol_ratio": symbols, "digit_ratio": s[:, col["digit"]],
-                    "lines": np.rint(np.expm1(s[:, col["lines_log"]])).astype(np.int32), "lines_end_punctuation": s[:, col["lines_end_stop"]], "common_word_share": s[:, col["common_words"]], "delimiter_alignment": s[:, col["alignment"]],
-                    "begin_periodicity": s[:, col["begin_period"]], "length_autocorrelation": s[:, col["length_autocorrelation"]], "in_sentences": s[:, col["in_sentences"]], "prose_score": score,
+                    "lines": np.rint(np.expm1(s[:, col["lines_log"]])).astype(np.int32), "lines_end_punctuation": s[:, col["lines_end_stop"]], "common_word_share": s[:, col["common_words"]], "delimiter_alignment": s[:, col["delimiter_columns"]],
+                    "begin_periodicity": s[:, col["begin_spectrum"]], "length_autocorrelation": s[:, col["length_autocorrelation"]], "in_sentences": s[:, col["in_sentences"]], "prose_score": score,
                 }
                 yield pa.RecordBatch.from_arrays([*(c.slice(part.start, part.stop - part.start) for c in batch.columns[1:]), *(pa.array(values[c]) for c in REPORTED)], schema=arrow)
 
