@@ -240,3 +240,54 @@ def test_contents(spark):
     assert r.reliable and r.headings_matched == 5 and r.entries == 5
     f = {(x.kind, x.heading): x.blocks_affected for x in findings.collect()}
     assert f == {("likely_false_heading", "EVEX?"): 1, ("level_mismatch", "3 Dados"): None}
+
+
+def test_an_island_of_very_many_drafts(spark):
+    cfg = chunking.ChunkConfig(target_tokens=1, max_tokens=2, min_tokens=1, overlap_tokens=0, max_overlap_tokens=0, table_max_tokens=5, list_max_tokens=5, force_split_above_tokens=9)
+    b = blocks(spark, [{"text": words(200_010)}, {"text": "fim aqui", "section_path": ["T"]}])
+    good, _ = chunking.chunks(b, cfg=cfg, verdict=lambda t, k, n: F.lit("aprovado"), rejected_texts=False)
+    r = good.agg(F.count("*").alias("n"), F.countDistinct("chunk_index").alias("d"), F.max("chunk_index").alias("m"), F.max_by("text", "chunk_index").alias("last"), F.count("previous_chunk_id").alias("p"), F.sum((F.col("text") == F.concat(F.lit("w"), 2 * F.col("chunk_index"), F.lit(" w"), 2 * F.col("chunk_index") + 1)).cast("int")).alias("right")).first()
+    assert (r.n, r.d, r.m, r.last, r.p, r.right) == (100_006, 100_006, 100_005, "fim aqui", 100_005, 100_005)
+
+
+def test_poor_tables_are_rejected_with_their_reason(spark):
+    cfg = chunking.ChunkConfig(**{**SMALL.__dict__, "table_mode": "conditional"})
+    good, bad = chunked(spark, [{"block_type": "table", "text": "só uma célula", "section_kind": "front"}, {"text": words(8)}], cfg)
+    assert [g["text"] for g in good] == [words(8)]
+    assert [(r.reason, r.text) for r in bad.collect()] == [("table_low_quality", "só uma célula")]
+
+
+def test_boundaries_equal_a_plain_walk():
+    from vellumflow.operators import _boundaries as B
+
+    rng = random.Random(3)
+    for _ in range(500):
+        sizes = [rng.choice([0, 1, 2, 3, 5, 8, 13, 30]) for _ in range(rng.randint(0, 14))]
+        target = rng.randint(1, 12)
+        largest = rng.randint(target, 20)
+        runs = {"within": [], "packed": [], "gathered": []}
+        for name, out in runs.items():
+            for i, n in enumerate(sizes):
+                held = sum(sizes[out[-1] : i]) if out else 0
+                opens = not out or {"within": held + n > largest, "packed": held >= target or held + n > largest, "gathered": n >= target or held + n > largest}[name]
+                if opens:
+                    out.append(i)
+        assert B.within(sizes, largest) == runs["within"] and B.packed(sizes, target, largest) == runs["packed"] and B.gathered(sizes, target, largest) == runs["gathered"]
+    pieces = B.cut_characters("Uma frase. Outra bem maior aqui. Fim.", 20, 8)
+    assert pieces == ["Uma frase.", "frase. Outra bem maior aqui.", "aqui. Fim."]
+
+
+def test_limits_in_subwords(spark):
+    from vellumflow.functions.counting import SubwordCounter, WORDS
+
+    counter = SubwordCounter("/opt/tokenizers/byte_bpe_50k.tiktoken")
+    rows = [{"text": "这是一个没有空格的段落。" * 12}, {"text": words(9)}, {"block_type": "list", "text": "\n".join(f"- item {i}" for i in range(12))}]
+    got, _ = chunked(spark, rows, counter=counter)
+    assert len(got) > 6 and all(g["token_count"] == counter.count(g["text"]) for g in got) and {g["tokenizer_name"] for g in got} == {"subwords"}
+    assert all(g["token_count"] <= 24 for g in got if g["content_type"] == "paragraph")  # a piece by itself may count a few tokens more
+    assert "".join(g["text"] for g in got if g["split_method"] == "token_fallback").count("段落") >= 8
+    plain, _ = chunked(spark, rows)
+    assert len([g for g in plain if "段落" in g["text"]]) == 1 and plain[0]["tokenizer_name"] == WORDS.name
+    for size in (1, 3, 7):
+        for t in ("Olá mundo 日本語🇧🇷 fim", "aaa", ""):
+            assert "".join("".join(counter.pieces(t, size)).split()) == "".join(t.split())

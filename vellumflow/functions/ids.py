@@ -31,8 +31,13 @@ def text_hash(c: Column) -> Column:
 
 def chunk_id(document_id: Column, bitstream: Column, checksum: Column, version: Column, config: Column, index: Column, text: Column) -> Column:
     """Id of a chunk from all that determines it; nulls count as empty."""
+    return chunk_id_of_hash(document_id, bitstream, checksum, version, config, index, text_hash(text))
+
+
+def chunk_id_of_hash(document_id: Column, bitstream: Column, checksum: Column, version: Column, config: Column, index: Column, hashed: Column) -> Column:
+    """The same from the text's digest."""
     parts = [F.coalesce(c.cast("string"), F.lit("")) for c in (document_id, bitstream, checksum, version, config, index)]
-    return F.sha2(F.concat_ws("|", *parts, text_hash(text)), 256)
+    return F.sha2(F.concat_ws("|", *parts, hashed), 256)
 
 
 def uuid5(namespace: uuid.UUID, name: Column) -> Column:

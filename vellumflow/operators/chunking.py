@@ -1,9 +1,11 @@
 """Blocks to chunks: structural packing within token limits, tables and lists by rows and items, overlap, ids.
 
-A document isn't folded as a whole. Islands (stretches between headings, tables, lists and changes of path) are
-numbered with running sums; within an island only token counts reach the packing kernel, and texts meet in one
-row only per chunk, whose size is bounded by the limits. Token counts are those of white space, under which the
-count of joined texts is the sum of counts.
+A document isn't folded as a whole. What decides is thin: keys, roles and token counts. Islands (stretches between
+headings, tables, lists and changes of path) are numbered with running sums, cuts within an island are found from its
+counts alone (16 bytes a block), and only then do texts meet, once, in one row per chunk, whose size is bounded by the
+limits. No text is sorted with its document's or its island's, or written to a checkpoint.
+
+Limits are counted by a token counter (functions.counting), by white space where none is given.
 """
 
 from __future__ import annotations
@@ -16,9 +18,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellumflow.functions import ids, visual
+from vellumflow.functions.counting import WORDS, TokenCounter
 from vellumflow.functions.quality import chunk_reason
-from vellumflow.functions.text import count_words, looks_complete, spaced_capitals
-from vellumflow.operators import _folds
+from vellumflow.functions.text import looks_complete, spaced_capitals
+from vellumflow.operators import _boundaries
 from vellumflow.operators.running import running
 from vellumflow.runtime import cut, ship_package
 
@@ -92,58 +95,77 @@ def chunkable(cfg: ChunkConfig, columns: list[str]) -> Column:
     return out
 
 
-def _ints(f: Callable[..., list[int]], *args: int):
-    @F.pandas_udf("array<int>")
-    def run(counts: pd.Series) -> pd.Series:
-        return counts.map(lambda x: f([int(v) for v in x], *args))
+PIECE = "array<struct<text:string,method:string,n:int,overlap:int,first:int,last:int,goes_on:boolean>>"
+_FIELDS = ("text", "method", "n", "overlap", "first", "last", "goes_on")
 
-    return run
 
+def _row(*values: object) -> dict:
+    return dict(zip(_FIELDS, values, strict=True))
 
-def _splitter(cfg: ChunkConfig):
-    target, largest = cfg.target_tokens, cfg.max_tokens
 
-    @F.pandas_udf("array<struct<text:string,method:string>>")
+def _text_pieces(cfg: ChunkConfig, counter: TokenCounter):
+    overlap = cfg.overlap_tokens if cfg.overlap_twice else 0
+
+    @F.pandas_udf(PIECE)
     def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: [{"text": p, "method": m} for p, m in _folds.split_large(t, target, largest)[0]])
+        return pd.Series([None if t is None else [_row(*p, None, None, False) for p in _boundaries.cut_text(t, cfg.target_tokens, cfg.max_tokens, overlap, cfg.max_overlap_tokens, counter)] for t in texts])
 
     return run
 
 
-def _tailer(cfg: ChunkConfig):
-    overlap, largest = cfg.overlap_tokens, cfg.max_overlap_tokens
+def _table_pieces(cfg: ChunkConfig, counter: TokenCounter):
+    @F.pandas_udf(PIECE)
+    def run(markdown: pd.Series, caption: pd.Series) -> pd.Series:
+        cut_one = lambda m, c: _boundaries.cut_table(m, c if isinstance(c, str) else None, cfg.table_max_tokens, counter)
+        return pd.Series([None if m is None else [_row(t, "table_rows", None, 0, x, y, more) for t, x, y, more in cut_one(m, c)] or None for m, c in zip(markdown, caption, strict=True)])
 
-    @F.pandas_udf("string")
+    return run
+
+
+def _list_pieces(cfg: ChunkConfig, counter: TokenCounter):
+    @F.pandas_udf(PIECE)
     def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else _folds.tail(t, overlap, largest))
+        return pd.Series([None if t is None else [_row(p, "list_items", None, 0, x, y, more) for p, x, y, more in _boundaries.cut_list(t, cfg.list_max_tokens, counter)] for t in texts])
 
     return run
 
 
-def with_overlap(drafts: DataFrame, cfg: ChunkConfig, group: list[str], order: list[str]) -> DataFrame:
-    """Drafts (text, allow_overlap, block_ids, overlap_tokens) of a group, each with the end of the one before in front where that fits."""
-    before = Window.partitionBy(*group).orderBy(*order)
-    if cfg.overlap_tokens <= 0:
-        return drafts
-    tails = drafts.withColumn("__tail", F.lag(F.when(F.col("allow_overlap"), _tailer(cfg)("text"))).over(before)).withColumn("__ids", F.lag("block_ids").over(before))
-    n = count_words(F.col("__tail"))
-    fits = F.col("allow_overlap") & F.col("__tail").isNotNull() & (F.col("__tail") != "") & (count_words(F.col("text")) + n <= cfg.max_tokens)
-    fits = F.coalesce(fits, F.lit(False))
-    return tails.withColumns(
-        {
-            "text": F.when(fits, F.concat_ws("\n\n", "__tail", "text")).otherwise(F.col("text")),
-            "overlap_tokens": F.when(fits, n).otherwise(F.col("overlap_tokens")),
-            "overlap_block_ids": F.when(fits, F.col("__ids")).otherwise(F.col("overlap_block_ids")),
-        }
-    ).drop("__tail", "__ids")
+def _planner(cfg: ChunkConfig, joint: int):
+    """Numbers of the drafts that each block of an island goes to, one for each of its pieces: blocks packed, then small drafts put to the one before."""
+
+    @F.pandas_udf("array<array<int>>")
+    def run(counts: pd.Series, pieces: pd.Series) -> pd.Series:
+        out = []
+        for sizes, cuts in zip(counts, pieces, strict=True):
+            sizes = [int(n) for n in sizes]
+            firsts = _boundaries.packed(sizes, cfg.target_tokens, cfg.max_tokens)
+            drafts: list[int] = []
+            span: list[tuple[int, int]] = []  # drafts that each block is in, before small ones move
+            for a, b in _boundaries.spans(firsts, len(sizes)):
+                own = [int(n) for n in cuts[a]] if cuts[a] is not None and len(cuts[a]) else [sum(sizes[a:b]) + joint * (b - a - 1)]
+                span += [(len(drafts), len(drafts) + len(own))] * (b - a)
+                drafts += own
+            to = _boundaries.run_numbers(_boundaries.gathered(drafts, cfg.min_tokens, cfg.max_tokens, joint), len(drafts)).tolist()
+            out.append([to[a:b] for a, b in span])
+        return pd.Series(out)
 
+    return run
 
-def islands(blocks: DataFrame, cfg: ChunkConfig) -> DataFrame:
-    """Blocks that take part, numbered by island; ``role`` is text, reference, table, list or figure; heading rows are gone."""
+
+def _tailer(cfg: ChunkConfig, counter: TokenCounter):
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else _boundaries.tail(t, cfg.overlap_tokens, cfg.max_overlap_tokens, counter))
+
+    return run
+
+
+def roles(cfg: ChunkConfig, columns: list[str]) -> Column:
+    """What a block is to chunking: heading, skip, table, list, figure, reference or text."""
     kind = F.lower(F.col("block_type"))
-    role = (
+    return (
         F.when(kind.isin("heading", "title"), "heading")
-        .when(~chunkable(cfg, blocks.columns), "skip")
+        .when(~chunkable(cfg, columns), "skip")
         .when(kind == "table", "table")
         .when(kind == "list", "list")
         .when(kind.isin("figure_caption", "figure", "image"), "figure")
@@ -151,111 +173,117 @@ def islands(blocks: DataFrame, cfg: ChunkConfig) -> DataFrame:
         .when(kind.isin("header", "footer", "page_number"), "skip")
         .otherwise("text")
     )
-    rows = blocks.withColumn("role", role).where("role <> 'skip' and trim(coalesce(text, '')) <> ''")
+
+
+def islands(blocks: DataFrame, cfg: ChunkConfig, counter: TokenCounter = WORDS) -> DataFrame:
+    """Keys of the blocks that take part, with their island, role, tokens (of running text) and level; no texts.
+
+    Heading rows are gone. A block without a document, an id or a visible text takes no part.
+    """
+    rows = blocks.withColumn("role", roles(cfg, blocks.columns)).where("role <> 'skip' and trim(coalesce(text, '')) <> '' and document_id is not null and block_id is not null")
     path = F.xxhash64(F.coalesce(F.col("section_path"), F.array().cast("array<string>")))
-    # only keys, roles and levels take part in the scans; texts join once
-    thin = cut(rows.select("document_id", "order_index", "block_id", "role", path.alias("path"), "heading_level"))
+    running_text = F.when(F.col("role").isin("text", "reference"), F.col("text"))
+    thin = cut(rows.select("document_id", "order_index", "block_id", "role", path.alias("path"), "heading_level", F.when(running_text.isNotNull(), counter.column(running_text)).alias("n")))
     # a text block opens a new island behind anything that isn't text, or under another path
-    seen = running(thin, ["document_id"], "order_index", "block_id", lasts={"__before": F.struct("role", "path"), "__level": F.when(F.col("role") == "heading", F.col("heading_level"))}, exclusive=True)
+    seen = running(thin, ["document_id"], "order_index", "block_id", lasts={"__before": F.struct("role", "path"), "level": F.when(F.col("role") == "heading", F.col("heading_level"))}, exclusive=True)
     opens = ~F.coalesce((F.col("role") == "text") & (F.col("__before.role") == "text") & (F.col("__before.path") == F.col("path")), F.lit(False))
-    opened = seen.select("document_id", "order_index", "block_id", "role", "__level", F.when(opens, 1).otherwise(0).alias("__opens"))
-    numbered = running(opened, ["document_id"], "order_index", "block_id", sums={"island": F.col("__opens")}).where("role <> 'heading'")
-    return rows.join(numbered.select("document_id", "block_id", "order_index", "island", "__level"), ["document_id", "block_id", "order_index"])
-
-
-def drafts(blocks: DataFrame, cfg: ChunkConfig = ChunkConfig()) -> DataFrame:
-    """Chunk drafts before the verdict: document_id, island, part, text, content_type, split_method, block_ids, section_path, section_kind, pages and overlap."""
+    opened = seen.select("document_id", "order_index", "block_id", "role", "level", "n", F.when(opens, 1).otherwise(0).alias("__opens"))
+    return running(opened, ["document_id"], "order_index", "block_id", sums={"island": F.col("__opens")}).where("role <> 'heading'").drop("__opens")
+
+
+def placed(base: DataFrame, cfg: ChunkConfig, counter: TokenCounter) -> DataFrame:
+    """(document_id, block_id, role, island, level, large, drafts): the drafts of its island that each block's pieces go to; null for tables, lists and figures."""
+    thin = cut(islands(base, cfg, counter))
+    text = thin.where("role in ('text', 'reference')")
+    large = text.where(F.col("n") > cfg.max_tokens).select("document_id", "block_id")
+    # of oversized blocks alone the texts are looked at, for the sizes of their pieces
+    sizes = base.select("document_id", "block_id", "text").join(large, ["document_id", "block_id"], "left_semi").select("document_id", "block_id", F.transform(_text_pieces(cfg, counter)("text"), lambda p: p["n"]).alias("cuts"))
+    whole = text.where(F.col("n") <= cfg.max_tokens).withColumn("cuts", F.lit(None).cast("array<int>"))
+    both = whole.unionByName(text.where(F.col("n") > cfg.max_tokens).join(sizes, ["document_id", "block_id"]))
+    one = both.groupBy("document_id", "island").agg(F.array_sort(F.collect_list(F.struct("order_index", "block_id", "role", "level", "n", "cuts"))).alias("b"))
+    planned = one.withColumn("to", _planner(cfg, counter.joint)(F.transform("b", lambda x: x["n"]), F.transform("b", lambda x: x["cuts"])))
+    each = planned.select("document_id", "island", F.inline(F.arrays_zip("b", F.col("to").alias("drafts"))))
+    texts = each.select("document_id", "b.block_id", "b.role", "island", "b.level", (F.col("b.n") > cfg.max_tokens).alias("large"), "drafts")
+    alone = thin.where("role in ('table', 'list', 'figure')").select("document_id", "block_id", "role", "island", "level", F.lit(False).alias("large"), F.lit(None).cast("array<int>").alias("drafts"))
+    return texts.unionByName(alone)
+
+
+def drafts(blocks: DataFrame, cfg: ChunkConfig = ChunkConfig(), counter: TokenCounter = WORDS) -> DataFrame:
+    """Chunk drafts before the verdict: document_id, island, part, order_index, text, tokens, content_type, split_method, block_ids, section_path, section_kind, pages and overlap.
+
+    ``faulty`` is a reason that no verdict on the text can give: a table of too little quality in the conditional mode.
+    ``blocks`` has a row for each (document_id, block_id).
+    """
     ship_package(blocks.sparkSession)
     wanted = ["document_id", "block_id", "order_index", "block_type", "text", "page_number", "section_path", "section_kind", "heading_level", "chunkable", "equation_confidence", "table_markdown", "table_html", "caption", "note"]
     have = [c for c in wanted if c in blocks.columns]
     base = blocks.select(*have, *[F.lit(None).cast("string").alias(c) for c in ("table_markdown", "table_html", "caption", "note") if c not in blocks.columns])
-    rows = cut(islands(base, cfg))
-    none = F.array().cast("array<string>")
+    return _drafts_of(base, cut(placed(base, cfg, counter)), cfg, counter)
 
-    # running text: pack counts, then gather each pack's text
-    text_rows = rows.where("role in ('text', 'reference')").withColumn("n", count_words(F.col("text")))
-    packs = text_rows.groupBy("document_id", "island").agg(F.array_sort(F.collect_list(F.struct("order_index", "block_id", "n"))).alias("b"))
-    packs = packs.withColumn("g", _ints(_folds.pack, cfg.target_tokens, cfg.max_tokens)(F.transform("b", lambda x: x["n"])))
-    numbered = packs.select("document_id", "island", F.explode(F.arrays_zip(F.transform("b", lambda x: x["block_id"]).alias("block_id"), F.col("g").alias("part"))).alias("z")).select("document_id", "island", "z.block_id", "z.part")
-    placed = text_rows.join(numbered, ["document_id", "island", "block_id"])
-    item = F.struct("order_index", "block_id", "text", "page_number", "n", "role", "section_path", "section_kind", F.col("__level").alias("level"))
-    gathered = placed.groupBy("document_id", "island", "part").agg(F.array_sort(F.collect_list(item)).alias("b"))
-    first = F.get(F.col("b"), 0)
-    grouped = gathered.select(
-        "document_id", "island", "part",
-        F.array_join(F.transform("b", lambda x: x["text"]), "\n\n").alias("text"),
-        F.aggregate("b", F.lit(0), lambda s, x: s + x["n"]).alias("n"),
-        F.when((first["role"] == "reference") | F.lit(False), "references").otherwise("paragraph").alias("content_type"),
-        F.transform("b", lambda x: x["block_id"]).alias("block_ids"),
-        F.array_sort(F.array_distinct(F.filter(F.transform("b", lambda x: x["page_number"]), lambda p: p.isNotNull()))).alias("pages"),
-        first["section_path"].alias("section_path"), first["section_kind"].alias("section_kind"), first["level"].alias("heading_level"),
-    )
-    base_cols = ["document_id", "island", "part", "piece", "text", "n", "content_type", "split_method", "block_ids", "pages", "section_path", "section_kind", "heading_level", "allow_overlap"]
-    whole = grouped.where(F.col("n") <= cfg.max_tokens).withColumns({"piece": F.lit(0), "split_method": F.lit("block"), "allow_overlap": F.col("content_type") != "references"})
-    large = grouped.where(F.col("n") > cfg.max_tokens).select("*", F.posexplode(_splitter(cfg)("text")).alias("piece", "p")).drop("text")
-    large = large.withColumns({"text": F.col("p.text"), "n": count_words(F.col("p.text")), "split_method": F.col("p.method"), "allow_overlap": F.lit(True)})
-    large = large.select(*base_cols).withColumns({"overlap_tokens": F.lit(0), "overlap_block_ids": none})
-    if cfg.overlap_twice:
-        large = with_overlap(large, cfg, ["document_id", "island", "part"], ["piece"])
-    large = large.withColumn("allow_overlap", F.col("content_type") != "references")
-    text_drafts = whole.select(*base_cols).withColumns({"overlap_tokens": F.lit(0), "overlap_block_ids": none}).unionByName(large)
-
-    # small drafts join the one before them in the island
-    sized = text_drafts.groupBy("document_id", "island").agg(F.array_sort(F.collect_list(F.struct("part", "piece", count_words(F.col("text")).alias("n")))).alias("d"))
-    sized = sized.withColumn("to", _ints(_folds.merge_small, cfg.min_tokens, cfg.max_tokens)(F.transform("d", lambda x: x["n"])))
-    moved = sized.select("document_id", "island", F.explode(F.arrays_zip(F.transform("d", lambda x: x["part"]).alias("part"), F.transform("d", lambda x: x["piece"]).alias("piece"), F.col("to").alias("draft"))).alias("z")).select("document_id", "island", "z.part", "z.piece", "z.draft")
-    merged = text_drafts.join(moved, ["document_id", "island", "part", "piece"]).groupBy("document_id", "island", "draft").agg(F.array_sort(F.collect_list(F.struct("part", "piece", *[c for c in base_cols + ["overlap_tokens", "overlap_block_ids"] if c not in ("document_id", "island", "part", "piece")]))).alias("d"))
-    one = F.get(F.col("d"), 0)
-    joined = merged.select(
-        "document_id", "island", F.col("draft").alias("part"),
-        F.array_join(F.transform("d", lambda x: x["text"]), "\n\n").alias("text"),
-        *[one[c].alias(c) for c in ("content_type", "split_method", "section_path", "section_kind", "heading_level", "allow_overlap", "overlap_tokens", "overlap_block_ids")],
-        F.array_distinct(F.flatten(F.transform("d", lambda x: x["block_ids"]))).alias("block_ids"),
-        F.array_sort(F.array_distinct(F.flatten(F.transform("d", lambda x: x["pages"])))).alias("pages"),
-    )
-    flowing = with_overlap(joined, cfg, ["document_id", "island"], ["part"])
 
-    # tables, lists and figures stand alone
-    single = rows.where("role in ('table', 'list', 'figure')")
-    note = F.coalesce(F.col("note"), F.lit(""))
-    score = visual.table_quality(F.col("table_html"), F.col("caption"), note, F.col("section_kind"), F.coalesce(F.col("table_markdown"), F.col("text")))
+def _drafts_of(base: DataFrame, places: DataFrame, cfg: ChunkConfig, counter: TokenCounter) -> DataFrame:
+    """Drafts from the blocks and their places."""
+    rows = base.join(places, ["document_id", "block_id"])
+    is_table = F.col("role") == "table"
     given = F.nullif(F.col("table_markdown"), F.lit(""))
     markdown = F.coalesce(given, F.when(F.col("text").contains("|"), F.array_join(F.filter(F.split("text", "\n"), lambda x: x.contains("|")), "\n")))
-    limit = cfg.table_max_tokens
-
-    @F.pandas_udf("array<struct<text:string,first:int,last:int,goes_on:boolean>>")
-    def cut_table(m: pd.Series, caption: pd.Series, whole: pd.Series) -> pd.Series:
-        cut_one = lambda a, b, t: _folds.table_pieces(a, b if isinstance(b, str) else None, limit) or [(t, None, None, False)]
-        return pd.Series([[dict(zip(("text", "first", "last", "goes_on"), p, strict=True)) for p in cut_one(a, b, t)] for a, b, t in zip(m, caption, whole, strict=True)])
+    # rows are told only by the markdown given with a table; without it the text stays whole, with its caption, source and unit lines
+    cut_rows = is_table & given.isNotNull() & (counter.column(F.when(is_table, F.col("text"))) > cfg.table_max_tokens)
+    shown, faulty = F.col("text"), F.lit(None).cast("string")
+    if cfg.table_mode == "conditional":
+        score = visual.table_quality(F.col("table_html"), F.col("caption"), F.coalesce(F.col("note"), F.lit("")), F.col("section_kind"), F.coalesce(F.col("table_markdown"), F.col("text")))
+        by_rows = visual.table_rows_text(markdown, F.col("caption"))
+        shown = F.when(is_table & (by_rows != "") & (counter.column(by_rows) <= cfg.table_max_tokens), by_rows).otherwise(F.col("text"))
+        faulty = F.when(is_table & (score < cfg.table_min_quality), "table_low_quality")
+    last = F.when(is_table, F.size(visual.markdown_rows(markdown))).when(F.col("role") == "figure", 1)
+    first = F.when(is_table, 0).when(F.col("role") == "figure", 1)
+    null_int = F.lit(None).cast("int")
+    uncut = F.array(F.struct(shown.alias("text"), F.lit("block").alias("method"), null_int.alias("n"), F.lit(0).alias("overlap"), first.alias("first"), last.alias("last"), F.lit(False).alias("goes_on"))).cast(PIECE)
+    pieces = F.coalesce(
+        _text_pieces(cfg, counter)(F.when(F.col("large"), F.col("text"))), _list_pieces(cfg, counter)(F.when(F.col("role") == "list", F.col("text"))), _table_pieces(cfg, counter)(F.when(cut_rows, given), F.col("caption")), uncut
+    )
+    cut_up = rows.select("document_id", "island", "block_id", "order_index", "role", "page_number", "section_path", "section_kind", F.when(F.col("drafts").isNull(), F.col("heading_level")).otherwise(F.col("level")).alias("level"), "drafts", faulty.alias("faulty"), pieces.alias("pieces"))
+    one = cut_up.select("*", F.size("pieces").alias("n_pieces"), F.posexplode("pieces").alias("piece", "p"))
+    before = F.get("pieces", F.col("piece") - 1)
+    none = F.array().cast("array<string>")
+    method = F.when((F.col("p.method") != "block") & (F.col("n_pieces") == 1) & F.col("role").isin("list", "table"), "block").otherwise(F.col("p.method"))
+    item = F.struct(
+        "order_index", "block_id", "piece", F.col("p.text").alias("text"), "page_number", "role", "section_path", "section_kind", "level", "faulty", method.alias("method"), F.col("p.overlap").alias("overlap"),
+        F.when(F.col("p.overlap") > 0, F.array("block_id")).otherwise(none).alias("overlap_ids"), F.col("p.first").alias("first"), F.col("p.last").alias("last"), F.col("p.goes_on").alias("goes_on"),
+    )
+    target = F.coalesce(F.get("drafts", F.col("piece")), F.col("piece"))
+    gathered = one.select("document_id", "island", target.alias("part"), item.alias("i")).groupBy("document_id", "island", "part").agg(F.array_sort(F.collect_list("i")).alias("b"))
+    top = F.get(F.col("b"), 0)
+    content = F.when(top["role"] == "text", "paragraph").when(top["role"] == "reference", "references").when(top["role"] == "figure", "figure_caption").otherwise(top["role"])
+    made = gathered.select(
+        "document_id", "island", "part", top["order_index"].alias("order_index"), top["block_id"].alias("first_block"), F.array_join(F.transform("b", lambda x: x["text"]), "\n\n").alias("text"), content.alias("content_type"),
+        *[top[c].alias(name) for c, name in (("method", "split_method"), ("section_path", "section_path"), ("section_kind", "section_kind"), ("level", "heading_level"), ("overlap", "overlap_tokens"), ("overlap_ids", "overlap_block_ids"), ("first", "first_item"), ("last", "last_item"), ("goes_on", "is_continuation"), ("faulty", "faulty"))],
+        F.array_distinct(F.transform("b", lambda x: x["block_id"])).alias("block_ids"), F.array_sort(F.array_distinct(F.array_compact(F.transform("b", lambda x: x["page_number"])))).alias("pages"),
+    )
+    sized = made.withColumns({"allow_overlap": F.col("content_type") == "paragraph", "tokens": counter.column(F.col("text"))})
+    return with_overlap(sized, cfg, counter)
 
-    list_limit = cfg.list_max_tokens
 
-    @F.pandas_udf("array<struct<text:string,first:int,last:int,goes_on:boolean>>")
-    def cut_list(t: pd.Series) -> pd.Series:
-        return t.map(lambda x: [dict(zip(("text", "first", "last", "goes_on"), p, strict=True)) for p in _folds.list_pieces(x, list_limit)])
+def with_overlap(drafts: DataFrame, cfg: ChunkConfig, counter: TokenCounter = WORDS) -> DataFrame:
+    """Drafts of islands (document_id, island, part from 0), each with the end of the one before in front where that fits.
 
-    shape = "array<struct<text:string,first:int,last:int,goes_on:boolean>>"
-    tables = single.where("role = 'table'").withColumns({"score": score, "md": markdown})
-    if cfg.table_mode == "conditional":
-        tables = tables.where(F.col("score") >= cfg.table_min_quality)
-    # rows are told only by the markdown given with a table; without it the text stays whole, with its caption, source and unit lines
-    fits = (count_words(F.col("text")) <= limit) | given.isNull()
-    by_rows = visual.table_rows_text(F.col("md"), F.col("caption"))
-    text = F.when((by_rows != "") & (count_words(by_rows) <= limit), by_rows).otherwise(F.col("text")) if cfg.table_mode == "conditional" else F.col("text")
-    whole_table = F.array(F.struct(text.alias("text"), F.lit(0).alias("first"), F.size(visual.markdown_rows(F.col("md"))).alias("last"), F.lit(False).alias("goes_on"))).cast(shape)
-    parts = tables.where(fits).withColumn("p", whole_table).unionByName(tables.where(~fits).withColumn("p", cut_table("md", "caption", "text"))).drop("score", "md")
-    parts = parts.unionByName(single.where("role = 'list'").withColumn("p", cut_list("text")))
-    parts = parts.unionByName(single.where("role = 'figure'").withColumn("p", F.array(F.struct("text", F.lit(1).alias("first"), F.lit(1).alias("last"), F.lit(False).alias("goes_on"))).cast(shape)))
-    pieces = parts.select("*", F.posexplode("p").alias("part", "q"))
-    alone = pieces.select(
-        "document_id", "island", "part", F.col("q.text").alias("text"),
-        F.when(F.col("role") == "figure", "figure_caption").otherwise(F.col("role")).alias("content_type"),
-        F.when(F.size("p") > 1, F.when(F.col("role") == "table", "table_rows").otherwise("list_items")).otherwise("block").alias("split_method"),
-        "section_path", "section_kind", F.col("heading_level"), F.lit(False).alias("allow_overlap"), F.lit(0).alias("overlap_tokens"), none.alias("overlap_block_ids"),
-        F.array("block_id").alias("block_ids"), F.array_compact(F.array("page_number")).alias("pages"), F.col("q.first").alias("first_item"), F.col("q.last").alias("last_item"), F.col("q.goes_on").alias("is_continuation"),
-    )
-    out = flowing.unionByName(alone, allowMissingColumns=True)
-    return out.withColumn("is_continuation", F.coalesce("is_continuation", F.lit(False)))
+    Only the ends, bounded by the overlap, meet the next draft, by a join under its own key; no island is sorted.
+    """
+    if cfg.overlap_tokens <= 0:
+        return drafts
+    ends = drafts.where("allow_overlap").select("document_id", "island", (F.col("part") + 1).alias("part"), _tailer(cfg, counter)("text").alias("__tail"), F.col("block_ids").alias("__ids"))
+    ends = ends.where("__tail <> ''").withColumn("__n", counter.column(F.col("__tail")))
+    both = drafts.join(ends, ["document_id", "island", "part"], "left")
+    fits = F.coalesce(F.col("allow_overlap") & F.col("__tail").isNotNull() & (F.col("tokens") + F.col("__n") <= cfg.max_tokens), F.lit(False))
+    together = F.concat_ws("\n\n", "__tail", "text")
+    return both.withColumns(
+        {
+            "text": F.when(fits, together).otherwise(F.col("text")),
+            "tokens": F.when(fits, F.col("tokens") + F.col("__n") if not counter.joint else counter.column(F.when(fits, together))).otherwise(F.col("tokens")),
+            "overlap_tokens": F.when(fits, F.col("__n")).otherwise(F.col("overlap_tokens")),
+            "overlap_block_ids": F.when(fits, F.col("__ids")).otherwise(F.col("overlap_block_ids")),
+        }
+    ).drop("__tail", "__ids", "__n")
 
 
 def contextualised(text: Column, title: Column, path: Column, cfg: ChunkConfig = ChunkConfig()) -> Column:
@@ -275,33 +303,41 @@ def embedding_input(row_text: Column, context: Column, field: str = "contextuali
     return F.coalesce(context, row_text) if field == "contextualized_text" else row_text
 
 
-def chunks(blocks: DataFrame, titles: DataFrame | None = None, cfg: ChunkConfig = ChunkConfig(), checksum: Column | None = None, verdict: Callable[[Column, Column, Column], Column] | None = None) -> tuple[DataFrame, DataFrame]:
+def chunks(blocks: DataFrame, titles: DataFrame | None = None, cfg: ChunkConfig = ChunkConfig(), checksum: Column | None = None, verdict: Callable[[Column, Column, Column], Column] | None = None, counter: TokenCounter = WORDS, rejected_texts: bool = True) -> tuple[DataFrame, DataFrame]:
     """(approved chunks, rejected drafts): chunks numbered densely by document over approved drafts, with ids, previous ids and context.
 
     ``verdict`` gives the reason of a draft from its text, type and tokens ("aprovado" approves), by default the
     structural rules. A chunk above the hard limit that isn't a table is rejected as too_large, so its document
-    can be looked up and set aside.
+    can be looked up and set aside; a table of too little quality is rejected as table_low_quality in the conditional
+    mode. Without ``rejected_texts`` rejected drafts have keys, tokens and reason only, and cost nothing more.
+
+    Verdicts, numbers and ids are found from a thin table of keys, counts and digests; texts are put together again
+    for the result.
     """
-    judged = drafts(blocks, cfg).withColumn("token_count", count_words(F.col("text")))
-    reason = (verdict or (lambda t, k, n: chunk_reason(t, k, n)))(F.col("text"), F.col("content_type"), F.col("token_count"))
-    too_large = (F.col("content_type") != "table") & (F.col("token_count") > cfg.force_split_above_tokens)
-    judged = cut(judged.withColumn("reason", F.when(too_large, "too_large").otherwise(reason)))
-    place = F.col("island").cast("long") * 100_000 + F.col("part")
-    good = running(judged.where("reason = 'aprovado'").withColumn("__place", place), ["document_id"], "__place", sums={"chunk_index": F.lit(1)}, bucket=100_000 * 512)
+    made = drafts(blocks, cfg, counter)
+    reason = (verdict or (lambda t, k, n: chunk_reason(t, k, n)))(F.col("text"), F.col("content_type"), F.col("tokens"))
+    too_large = (F.col("content_type") != "table") & (F.col("tokens") > cfg.force_split_above_tokens)
+    key = ["document_id", "island", "part"]
+    judged = cut(made.select(*key, "order_index", "first_block", F.col("tokens").alias("token_count"), F.coalesce("faulty", F.when(too_large, "too_large").otherwise(reason)).alias("reason"), ids.text_hash(F.col("text")).alias("text_hash")))
+    good = judged.where("reason = 'aprovado'").withColumn("__place", F.struct("first_block", "island", "part"))
+    good = running(good, ["document_id"], "order_index", "__place", sums={"chunk_index": F.lit(1)})
+    index = F.col("chunk_index").cast("int") - 1
+    identity = ids.chunk_id_of_hash(F.col("document_id"), F.lit(""), checksum if checksum is not None else F.lit(""), F.lit(cfg.chunking_version), F.lit(cfg.hash), index, F.col("text_hash"))
+    named = cut(good.select(*key, "token_count", index.alias("chunk_index"), identity.alias("chunk_id")))
+    previous = named.select("document_id", (F.col("chunk_index") + 1).alias("chunk_index"), F.col("chunk_id").alias("previous_chunk_id"))
+    named = named.join(previous, ["document_id", "chunk_index"], "left")
     if titles is not None:
-        good = good.join(titles.select("document_id", F.col("title").alias("document_title")), "document_id", "left")
+        named = named.join(titles.select("document_id", F.col("title").alias("document_title")), "document_id", "left")
     else:
-        good = good.withColumn("document_title", F.lit(None).cast("string"))
-    index = F.col("chunk_index").cast("int") - 1
-    identity = ids.chunk_id(F.col("document_id"), F.lit(""), checksum if checksum is not None else F.lit(""), F.lit(cfg.chunking_version), F.lit(cfg.hash), index, F.col("text"))
-    made = good.select(
-        "document_id", identity.alias("chunk_id"), index.alias("chunk_index"), "text", contextualised(F.col("text"), F.col("document_title"), F.col("section_path"), cfg).alias("contextualized_text"),
+        named = named.withColumn("document_title", F.lit(None).cast("string"))
+    approved = made.join(named, key).select(
+        "document_id", "chunk_index", "chunk_id", "text", contextualised(F.col("text"), F.col("document_title"), F.col("section_path"), cfg).alias("contextualized_text"),
         "token_count", F.length("text").alias("character_count"), "content_type", "split_method", "block_ids", "section_path", F.try_element_at("section_path", F.lit(-1)).alias("section_title"), "section_kind", "heading_level",
-        F.array_min("pages").alias("page_start"), F.array_max("pages").alias("page_end"), F.col("pages").alias("page_numbers"), F.col("overlap_tokens").alias("overlap_token_count"), "overlap_block_ids", "is_continuation", "first_item", "last_item",
-        F.lit(cfg.hash).alias("config_hash"),
+        F.array_min("pages").alias("page_start"), F.array_max("pages").alias("page_end"), F.col("pages").alias("page_numbers"), F.col("overlap_tokens").alias("overlap_token_count"), "overlap_block_ids", F.coalesce("is_continuation", F.lit(False)).alias("is_continuation"), "first_item", "last_item",
+        F.lit(cfg.hash).alias("config_hash"), F.lit(counter.name).alias("tokenizer_name"), "previous_chunk_id",
     )
-    previous = made.select("document_id", (F.col("chunk_index") + 1).alias("chunk_index"), F.col("chunk_id").alias("previous_chunk_id"))
-    return made.join(previous, ["document_id", "chunk_index"], "left"), judged.where("reason <> 'aprovado'")
+    bad = judged.where("reason <> 'aprovado'").select(*key, "token_count", "reason")
+    return approved, made.join(bad, key) if rejected_texts else bad
 
 
 def chunk_report(approved: DataFrame, rejected: DataFrame, blocks: DataFrame) -> DataFrame:
@@ -346,7 +382,7 @@ def legacy_chunks(blocks: DataFrame, max_chars: int = 1200, overlap_chars: int =
 
     @F.pandas_udf("array<string>")
     def cut(t: pd.Series) -> pd.Series:
-        return t.map(lambda x: _folds.legacy_pieces(x, max_chars, overlap_chars))
+        return t.map(lambda x: _boundaries.cut_characters(x, max_chars, overlap_chars))
 
     long = (F.col("type") != "table") & (F.length("text") > max_chars)
     split = kept.where(long).select(*[c for c in kept.columns if c != "text"], F.posexplode(cut("text")).alias("part", "text"))

@@ -54,10 +54,10 @@ def spread_pairs(links: DataFrame, members: DataFrame, block_members: int = BLOC
     """(x, y) for every link (a, b) between classes and each two of their members (cls, id).
 
     Members of a class beyond ``block_members`` are cut into blocks by their ids; a link meets each block under a join
-    key of its own, so no task holds a class. Classes are counted with partial sums. Repeated members count once; null
-    classes and ids make no pair. ``members`` is read several times: give it from a checkpoint.
+    key of its own, so no task holds a class. Classes are counted with partial sums. Repeated members and links are
+    repeated in the result; null classes and ids make no pair. ``members`` is read several times: give it from a checkpoint.
     """
-    once = members.where("cls is not null and id is not null").distinct()
+    once = members.where("cls is not null and id is not null")
     large = cut(once.groupBy("cls").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block_members).select("cls", F.ceil(F.col("n") / block_members).cast("int").alias("blocks")))
     if (size := sized(large))[0]:
         listed = F.broadcast(large) if size[1] <= BROADCAST_BYTES else large

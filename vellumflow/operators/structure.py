@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vellumflow.functions.text import acronym, heading_level, is_numbered, special_section, squash_ws
+from vellumflow.functions.text import WS, acronym, heading_level, is_numbered, special_section, squash_ws
 from vellumflow.operators.running import running
-from vellumflow.runtime import cut, ship_package
+from vellumflow.runtime import cut
 
 MAX_LEVEL = 6
 APPENDICES = ("analytical_appendix", "administrative_appendix")
@@ -85,6 +82,8 @@ def acronyms(blocks: DataFrame, doc: str = "document_id", order: str = "position
 
 #: Ends after which a paragraph doesn't go on, and beginnings with which it does.
 CONCLUSIVE = r"""[.!?:;”"')\]]\s*$"""
+HYPHEN = r"[A-Za-zÀ-ÿ]-$"
+TRAILING, LEADING = WS + "+$", "^" + WS + "+"
 GOES_ON = r"^\s*(?:R\$|US\$|[a-zà-ÿ0-9(%,\-–—])"
 
 
@@ -97,10 +96,9 @@ def merge_over_pages(blocks: DataFrame, doc: str = "document_id", order: str = "
 
     ``blocks`` has block_id, block_type, text, page_number, bbox, section_path and section_kind. Chains go on
     with the merged text; page and box stay those of the first block. Neighbours that can't join whatever was
-    merged before are told from the row before, so the sequential fold sees only short runs, spread over all tasks: a run is
+    merged before are told from the row before, so only short runs are scanned, in the JVM and spread over all tasks: a run is
     a stretch of paragraphs each of which might continue the one before.
     """
-    ship_package(blocks.sparkSession)
     text = F.coalesce(F.col("text"), F.lit(""))
     path = F.xxhash64(F.coalesce("section_path", F.array().cast("array<string>")), F.col("section_kind"))
     # only flags take part in the scans; texts join once
@@ -110,20 +108,28 @@ def merge_over_pages(blocks: DataFrame, doc: str = "document_id", order: str = "
     starts = seen.select(doc, order, "block_id", F.when(joined, 0).otherwise(1).alias("__start"))
     numbered = running(starts, [doc], order, "block_id", sums={"__run": F.col("__start")}).select(doc, order, "block_id", "__run")
     runs = blocks.select(doc, order, "block_id", "text", "page_number", "bbox").join(numbered, [doc, order, "block_id"])
-    grouped = runs.groupBy(doc, "__run").agg(F.array_sort(F.collect_list(F.struct(order, "block_id", F.coalesce("text", F.lit("")).alias("text"), "page_number", "bbox"))).alias("items"))
-    alone = grouped.where("size(items) = 1").select(doc, F.inline("items")).select(doc, order, "text", F.array_compact(F.array("page_number")).alias("pages"), F.array("block_id").alias("block_ids"), F.lit(False).alias("merged"))
-    order_type, doc_type = blocks.schema[order].dataType.simpleString(), blocks.schema[doc].dataType.simpleString()
-    schema = f"`{doc}` {doc_type}, `{order}` {order_type}, text string, pages array<int>, block_ids array<string>, merged boolean"
-
-    def go(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from vellumflow.operators._folds import merge_paragraphs
-
-        for f in frames:
-            out = [(d, *m) for d, items in zip(f[doc], f["items"], strict=True) for m in merge_paragraphs([tuple(i.values()) if isinstance(i, dict) else tuple(i) for i in items], bbox_tolerance)]
-            yield pd.DataFrame(out, columns=[doc, order, "text", "pages", "block_ids", "merged"])
-
-    chained = grouped.where("size(items) > 1").select(doc, "items").mapInPandas(go, schema)
-    return alone.select(*[F.col(x.split(" ")[0].strip("`")) for x in schema.split(", ")]).unionByName(chained)
+    item = F.struct(F.col(order).alias("o"), "block_id", F.coalesce("text", F.lit("")).alias("text"), F.col("page_number").cast("int").alias("page"), "bbox")
+    grouped = runs.groupBy(doc, "__run").agg(F.array_sort(F.collect_list(item)).alias("items"))
+    # of a run, which neighbours join depends only on the page and the box of the block that the chain began with
+    chain = "struct<n:int,page:int,left:double,right:double,of:array<int>>"
+
+    def step(state: Column, x: Column) -> Column:
+        left, right = F.get(x["bbox"], 0), F.when(F.size(x["bbox"]) >= 4, F.get(x["bbox"], 2))
+        apart = F.abs(state["left"] - left) > F.greatest(F.lit(60.0), F.lit(bbox_tolerance) * F.greatest(state["right"], right, F.lit(1.0)))
+        far = F.coalesce(apart & state["right"].isNotNull() & right.isNotNull(), F.lit(False))
+        joins = F.coalesce((state["n"] >= 0) & (x["page"] > state["page"]), F.lit(False)) & ~far
+        n = F.when(joins, state["n"]).otherwise(state["n"] + 1)
+        begun = lambda old, new: F.when(joins, old).otherwise(new)
+        return F.struct(n.alias("n"), begun(state["page"], x["page"]).alias("page"), begun(state["left"], left).alias("left"), begun(state["right"], right).alias("right"), F.concat(state["of"], F.array(n)).alias("of")).cast(chain)
+
+    start = F.struct(F.lit(-1).alias("n"), F.lit(None).alias("page"), F.lit(None).alias("left"), F.lit(None).alias("right"), F.array().alias("of")).cast(chain)
+    numbered_items = grouped.withColumn("of", F.when(F.size("items") == 1, F.array(F.lit(0))).otherwise(F.aggregate("items", start, step)["of"]))
+    chains = numbered_items.select(doc, F.explode(F.sequence(F.lit(0), F.array_max("of"))).alias("__k"), "items", "of").withColumn("c", F.filter("items", lambda x, i: F.get(F.col("of"), i) == F.col("__k")))
+    # a hyphen behind a letter goes where the next text is put on
+    glue = lambda t, x: F.when(F.regexp_replace(t, TRAILING, "").rlike(HYPHEN), F.concat(F.regexp_replace(t, "-" + WS + "*$", ""), F.regexp_replace(x["text"], LEADING, ""))).otherwise(F.concat(F.regexp_replace(t, TRAILING, ""), F.lit(" "), F.regexp_replace(x["text"], LEADING, "")))
+    text = F.when(F.size("c") == 1, F.get("c", 0)["text"]).otherwise(F.aggregate(F.slice("c", 2, F.size("c")), F.get("c", 0)["text"], glue))
+    pages = F.array_sort(F.array_distinct(F.array_compact(F.transform("c", lambda x: x["page"]))))
+    return chains.select(doc, F.get("c", 0)["o"].alias(order), text.alias("text"), pages.alias("pages"), F.transform("c", lambda x: x["block_id"]).alias("block_ids"), (F.size("c") > 1).alias("merged"))
 
 
 def titles(blocks: DataFrame, doc: str = "document_id", order: str = "position", kind: str = "type", text: str = "text", given: DataFrame | None = None) -> DataFrame:

@@ -81,7 +81,7 @@ def indexed_points(spark: SparkSession, sf: str) -> DataFrame:
 
 def chunk_report(spark: SparkSession, sf: str) -> DataFrame:
     b = _chunk_blocks(spark, sf)
-    good, bad = chunking.chunks(b)
+    good, bad = chunking.chunks(b, rejected_texts=False)
     return chunking.chunk_report(good, bad, b)
 
 
