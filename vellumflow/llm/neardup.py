@@ -213,7 +213,7 @@ def near_duplicate_pairs(members: DataFrame, links: DataFrame) -> DataFrame:
 
     A class of any number of copies is cut into blocks, so no task holds all its members.
     """
-    of = members.select("id", "cls").distinct()
+    of = cut(members.select("id", "cls").distinct())
     between = spread_pairs(links.select("a", "b"), of).where("x <> y")
     inside = group_pairs(of, "cls", "id").select(F.col("a").alias("x"), F.col("b").alias("y"))
     both = between.unionByName(inside)

@@ -378,7 +378,7 @@ def equal_form_pairs(df: DataFrame, id_col: str, text: str = "text", scores: np.
     Identical texts are no pair; they stand as one variant, so a group of copies meets others once, and copies of it are
     spread over tasks in blocks. Null and blank texts are in no pair, nor are null ids.
     """
-    rows = form_members(df, id_col, text, scores, loose)
+    rows = cut(form_members(df, id_col, text, scores, loose).distinct())
     variants = rows.select("key", "raw").distinct()
     met = group_pairs(variants, "key", "raw").select(F.struct("key", F.col("a").alias("raw")).alias("a"), F.struct("key", F.col("b").alias("raw")).alias("b"))
     both = spread_pairs(met, rows.select(F.struct("key", "raw").alias("cls"), "id")).where("x <> y")
