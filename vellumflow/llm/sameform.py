@@ -354,12 +354,12 @@ def same_form(df: DataFrame, text: str = "text", keep: list[str] | None = None,
 def form_members(df: DataFrame, id_col: str, text: str = "text", scores: np.ndarray | None = None, loose: bool = True) -> DataFrame:
     """Membership (id, key, raw): the digest of each visible text's form and of the text itself.
 
-    Null and blank texts are in no class, nor are rows with a null id; repeated rows stay. The result is a checkpoint.
+    Null and blank texts are in no class, nor are rows with a null id; repeated rows count once. The result is a checkpoint.
     """
     rows = df.select(F.col(f"`{id_col}`").alias("id"), F.unhex(F.md5(F.col(f"`{text}`"))).alias("raw"), F.col(f"`{text}`").alias("t"))
     scores = bigram_scores(df, text) if scores is None else scores
     formed = same_form(rows.where("id is not null and t is not null"), "t", ["id", "raw"], "form", scores, loose)
-    return cut(formed.where(F.col("form").rlike(r"[^\s\p{Z}\p{C}]")).select("id", "raw", F.unhex(F.md5("form")).alias("key")))
+    return cut(formed.where(F.col("form").rlike(r"[^\s\p{Z}\p{C}]")).select("id", "raw", F.unhex(F.md5("form")).alias("key")).distinct())
 
 
 def form_classes(members: DataFrame) -> DataFrame:
@@ -367,7 +367,7 @@ def form_classes(members: DataFrame) -> DataFrame:
 
     A row for each different (id, text); copies of one text are one text. No pairs are made.
     """
-    once = members.distinct()
+    once = members
     variants = once.select("key", "raw").distinct().groupBy("key").agg((F.count(F.lit(1)) - 1).alias("n_links"))
     return once.join(variants, "key").select("id", F.lower(F.hex("key")).alias("class_id"), "n_links")
 
@@ -378,7 +378,7 @@ def equal_form_pairs(df: DataFrame, id_col: str, text: str = "text", scores: np.
     Identical texts are no pair; they stand as one variant, so a group of copies meets others once, and copies of it are
     spread over tasks in blocks. Null and blank texts are in no pair, nor are null ids.
     """
-    rows = cut(form_members(df, id_col, text, scores, loose).distinct())
+    rows = form_members(df, id_col, text, scores, loose)
     variants = rows.select("key", "raw").distinct()
     met = group_pairs(variants, "key", "raw").select(F.struct("key", F.col("a").alias("raw")).alias("a"), F.struct("key", F.col("b").alias("raw")).alias("b"))
     both = spread_pairs(met, rows.select(F.struct("key", "raw").alias("cls"), "id")).where("x <> y")
