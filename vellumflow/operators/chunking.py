@@ -242,17 +242,18 @@ def _drafts_of(base: DataFrame, places: DataFrame, cfg: ChunkConfig, counter: To
     pieces = F.coalesce(
         _text_pieces(cfg, counter)(F.when(F.col("large"), F.col("text"))), _list_pieces(cfg, counter)(F.when(F.col("role") == "list", F.col("text"))), _table_pieces(cfg, counter)(F.when(cut_rows, given), F.col("caption")), uncut
     )
-    cut_up = rows.select("document_id", "island", "block_id", "order_index", "role", "page_number", "section_path", "section_kind", F.when(F.col("drafts").isNull(), F.col("heading_level")).otherwise(F.col("level")).alias("level"), "drafts", faulty.alias("faulty"), pieces.alias("pieces"))
-    one = cut_up.select("*", F.size("pieces").alias("n_pieces"), F.posexplode("pieces").alias("piece", "p"))
-    before = F.get("pieces", F.col("piece") - 1)
+    # each piece goes on by itself, with its draft; no row keeps the list it stood in
+    aimed = F.transform(pieces, lambda p, i: F.struct(F.coalesce(F.get(F.col("drafts"), i), i).alias("part"), i.alias("piece"), p.alias("p")))
+    level = F.when(F.col("drafts").isNull(), F.col("heading_level")).otherwise(F.col("level"))
+    listed = rows.select("document_id", "island", "block_id", "order_index", "role", "page_number", "section_path", "section_kind", level.alias("level"), faulty.alias("faulty"), aimed.alias("pieces"))
+    one = listed.withColumn("n_pieces", F.size("pieces")).select("document_id", "island", "block_id", "order_index", "role", "page_number", "section_path", "section_kind", "level", "faulty", "n_pieces", F.inline("pieces"))
     none = F.array().cast("array<string>")
     method = F.when((F.col("p.method") != "block") & (F.col("n_pieces") == 1) & F.col("role").isin("list", "table"), "block").otherwise(F.col("p.method"))
     item = F.struct(
         "order_index", "block_id", "piece", F.col("p.text").alias("text"), "page_number", "role", "section_path", "section_kind", "level", "faulty", method.alias("method"), F.col("p.overlap").alias("overlap"),
         F.when(F.col("p.overlap") > 0, F.array("block_id")).otherwise(none).alias("overlap_ids"), F.col("p.first").alias("first"), F.col("p.last").alias("last"), F.col("p.goes_on").alias("goes_on"),
     )
-    target = F.coalesce(F.get("drafts", F.col("piece")), F.col("piece"))
-    gathered = one.select("document_id", "island", target.alias("part"), item.alias("i")).groupBy("document_id", "island", "part").agg(F.array_sort(F.collect_list("i")).alias("b"))
+    gathered = one.select("document_id", "island", "part", item.alias("i")).groupBy("document_id", "island", "part").agg(F.array_sort(F.collect_list("i")).alias("b"))
     top = F.get(F.col("b"), 0)
     content = F.when(top["role"] == "text", "paragraph").when(top["role"] == "reference", "references").when(top["role"] == "figure", "figure_caption").otherwise(top["role"])
     made = gathered.select(
