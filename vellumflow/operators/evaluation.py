@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vellumflow.functions.text import match_key, squash_ws
+from vellumflow.operators.pairs import BROADCAST_BYTES, sized
 from vellumflow.operators.running import running
 
 KS = (1, 3, 5, 10)
@@ -18,6 +19,17 @@ def is_relevant(chunk_doc: Column, chunk_blocks: Column, chunk_text: Column, gol
     return (chunk_doc == gold_doc) & (overlap | (F.coalesce(span, F.lit("")) != "") & key(chunk_text).contains(key(span)))
 
 
+def relevant_pairs(chunks: DataFrame, gold: DataFrame) -> DataFrame:
+    """(qid, chunk_id): the chunks (chunk_id, document_id, text, block_ids) relevant to each question (qid, gold_doc, gold_block_ids, answer_span).
+
+    Questions are made by hand and few: they go to the chunks where their bytes allow, so that a large document's chunks stay
+    where they are; beyond that both are shuffled by document.
+    """
+    asked = F.broadcast(gold) if sized(gold)[1] <= BROADCAST_BYTES else gold
+    met = chunks.join(asked, chunks.document_id == asked.gold_doc)
+    return met.where(is_relevant(F.col("document_id"), F.col("block_ids"), F.col("text"), F.col("gold_doc"), F.col("gold_block_ids"), F.col("answer_span"))).select("qid", "chunk_id").distinct()
+
+
 def query_metrics(ranked: DataFrame, totals: DataFrame, ks: tuple[int, ...] = KS) -> DataFrame:
     """A row for each query of ``totals`` (query_id, total_rel): P, R and hit at each k, the first relevant rank and nDCG at the largest k. ``ranked`` has query_id, rank (from 1) and relevant."""
     rel = F.when(F.col("relevant"), 1.0).otherwise(0.0)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -12,10 +10,11 @@ from pyspark.sql import types as T
 
 from vellumflow.functions.vectors import absent_safe_not
 from vellumflow.operators.chunking import NAVIGATION
-from vellumflow.runtime import ship_package
+from vellumflow.operators.pairs import BROADCAST_BYTES, sized
+from vellumflow.runtime import cut, ship_package
 
-#: Queries answered in one pass; more are answered in several.
-QUERY_BLOCK = 2000
+#: Queries and points that meet in one task, and postings of a token in one block.
+QUERY_BLOCK, POINT_BLOCK, HOT_POSTINGS = 4096, 65_536, 100_000
 RRF_C = 60
 PROFILES = ("general", "quantitative", "methodological", "bibliographic")
 
@@ -82,63 +81,49 @@ def check_limit(limit: int, largest: int = 50) -> int:
     return limit
 
 
-def dense_topk(points: DataFrame, queries: DataFrame, k: int, id_col: str = "id", vector: str = "vector", query_id: str = "query_id", query_vector: str = "vector", digits: int = 9, query_block: int = QUERY_BLOCK) -> DataFrame:
+def dense_topk(points: DataFrame, queries: DataFrame, k: int, id_col: str = "id", vector: str = "vector", query_id: str = "query_id", query_vector: str = "vector", digits: int = 9, query_block: int = QUERY_BLOCK, point_block: int = POINT_BLOCK) -> DataFrame:
     """(query_id, id, score, rank): the ``k`` most similar points of each query by cosine, ties by id; exact.
 
-    Queries are a stated set; they go to all tasks in blocks of ``query_block``, and each task keeps its own best
-    ``k`` a query, so k rows a query and task are shuffled. Null vectors and those without length match nothing;
-    vectors of another length than the query's neither.
+    Queries are a stated set. Points and queries are cut into blocks by hashes, and each block of points meets each block of
+    queries under a join key of its own, so a task holds one block of each whatever the sizes; it keeps its best ``k`` a
+    query, and these are ranked. Nothing goes through the driver but two counts. Points are read once and sent as often as
+    there are blocks of queries. Null vectors and those without length match nothing; vectors of another length than the
+    query's neither. Equal (query, vector) rows count once.
     """
     check_limit(k, 100_000)
     ship_package(points.sparkSession)
     id_type, query_type = points.schema[id_col].dataType, queries.schema[query_id].dataType
     schema = T.StructType([T.StructField("query_id", query_type), T.StructField("id", id_type), T.StructField("score", T.DoubleType())])
-    listed = queries.where(F.col(query_vector).isNotNull()).select(F.col(query_id).alias("q"), F.col(query_vector).cast("array<double>").alias("v"))
-    out = None
-    block: list = []
-
-    def part(rows: list) -> DataFrame:
-        names = [r.q for r in rows]
-        matrix = [np.asarray(r.v, dtype=np.float64) for r in rows]
-        lengths = {len(v) for v in matrix}
-        by_length = {n: ([i for i, v in enumerate(matrix) if len(v) == n]) for n in lengths}
-        unit = {n: np.stack([matrix[i] / (np.linalg.norm(matrix[i]) or np.nan) for i in at]) for n, at in by_length.items()}
-
-        def go(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            best: dict[int, pd.DataFrame] = {}
-            for f in frames:
-                f = f[f["v"].notna()]
-                sizes = f["v"].map(len)
-                for n, at in by_length.items():
-                    own = f[sizes == n]
-                    if not len(own):
-                        continue
-                    x = np.stack(own["v"].to_numpy()).astype(np.float64)
-                    norm = np.sqrt((x * x).sum(axis=1))
-                    with np.errstate(divide="ignore", invalid="ignore"):
-                        scores = np.round((x / norm[:, None]) @ unit[n].T, digits)
-                    ids = own["id"].to_numpy()
-                    for j, q in enumerate(at):
-                        s = scores[:, j]
-                        ok = np.flatnonzero(~np.isnan(s))
-                        if len(ok) > k:
-                            edge = np.partition(s[ok], len(ok) - k)[len(ok) - k]
-                            ok = ok[s[ok] >= edge]
-                        new = pd.DataFrame({"id": ids[ok], "score": s[ok]})
-                        both = pd.concat([best[q], new]) if q in best else new
-                        best[q] = both.sort_values(["score", "id"], ascending=[False, True]).head(k)
-            for q, b in best.items():
-                yield b.assign(query_id=names[q])[["query_id", "id", "score"]]
-
-        return points.select(F.col(id_col).alias("id"), F.col(vector).alias("v")).mapInPandas(go, schema)
-
-    for row in listed.toLocalIterator():
-        block.append(row)
-        if len(block) == query_block:
-            out, block = (part(block) if out is None else out.unionByName(part(block))), []
-    if block or out is None:
-        done = part(block) if block else points.sparkSession.createDataFrame([], schema)
-        out = done if out is None else out.unionByName(done)
+    listed = queries.where(F.col(query_vector).isNotNull()).select(F.col(query_id).alias("q"), F.col(query_vector).cast("array<double>").alias("v")).distinct()
+    rows = points.where(F.col(vector).isNotNull()).select(F.col(id_col).alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    n_queries, n_points = (max(1, -(-df.count() // size)) for df, size in ((listed, query_block), (rows, point_block)))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = rows.withColumn("pb", F.pmod(F.xxhash64("id", "v"), F.lit(n_points)).cast("int")).withColumn("qb", every(n_queries))
+    right = listed.withColumn("qb", F.pmod(F.xxhash64("q", "v"), F.lit(n_queries)).cast("int")).withColumn("pb", every(n_points))
+
+    def go(p: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        p_sizes, q_sizes = p["v"].map(len), q["v"].map(len)
+        for n in q_sizes.unique():
+            own, asked = p[p_sizes == n], q[q_sizes == n]
+            if not len(own) or not n:
+                continue
+            x, y = (np.stack(f["v"].to_numpy()).astype(np.float64) for f in (own, asked))
+            with np.errstate(divide="ignore", invalid="ignore"):
+                unit = y / np.linalg.norm(y, axis=1)[:, None]
+                scores = np.round((x / np.sqrt((x * x).sum(axis=1))[:, None]) @ unit.T, digits)
+            ids = own["id"].to_numpy()
+            for j, name in enumerate(asked["q"]):
+                s = scores[:, j]
+                ok = np.flatnonzero(~np.isnan(s))
+                if len(ok) > k:
+                    edge = np.partition(s[ok], len(ok) - k)[len(ok) - k]
+                    ok = ok[s[ok] >= edge]
+                best = pd.DataFrame({"query_id": name, "id": ids[ok], "score": s[ok]})
+                found.append(best.sort_values(["score", "id"], ascending=[False, True]).head(k))
+        return pd.concat(found) if found else pd.DataFrame({"query_id": [], "id": [], "score": []})
+
+    out = left.groupBy("pb", "qb").cogroup(right.groupBy("pb", "qb")).applyInPandas(go, schema)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("id")))
     return out.withColumn("rank", rank).where(F.col("rank") <= k)
 
@@ -149,11 +134,24 @@ def term_weights(df: DataFrame, id_col: str, text: str) -> DataFrame:
     return df.select(F.col(id_col).alias("id"), F.explode(words).alias("token")).groupBy("id", "token").agg(F.count(F.lit(1)).cast("double").alias("weight"))
 
 
-def sparse_topk(points: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """(query_id, id, score, rank) from postings (id, token, weight): sums of products over shared tokens, ties by id. Only points sharing a token are candidates."""
+def sparse_topk(points: DataFrame, queries: DataFrame, k: int, hot_postings: int = HOT_POSTINGS) -> DataFrame:
+    """(query_id, id, score, rank) from postings (id, token, weight): sums of products over shared tokens, ties by id. Only points sharing a token are candidates.
+
+    Queries' postings are broadcast where their bytes are few. Beyond that a token with more than ``hot_postings`` points is
+    cut into blocks of them, which its queries meet under keys of their own.
+    """
     check_limit(k, 100_000)
     q = queries.select(F.col("id").alias("query_id"), "token", F.col("weight").alias("qw"))
-    scored = points.join(q, "token").groupBy("query_id", "id").agg(F.sum(F.col("weight") * F.col("qw")).alias("score"))
+    if sized(q)[1] <= BROADCAST_BYTES:
+        met = points.join(F.broadcast(q), "token")
+    else:
+        hot = points.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_postings).select("token", F.ceil(F.col("n") / hot_postings).cast("int").alias("blocks"))
+        hot = cut(hot)
+        listed = F.broadcast(hot) if sized(hot)[1] <= BROADCAST_BYTES else hot
+        mine = points.join(listed, "token", "left").withColumn("b", F.coalesce(F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"), F.lit(0))).drop("blocks")
+        asked = q.join(listed, "token", "left").withColumn("b", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1))).drop("blocks")
+        met = mine.join(asked, ["token", "b"])
+    scored = met.groupBy("query_id", "id").agg(F.sum(F.col("weight") * F.col("qw")).alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("id")))
     return scored.withColumn("rank", rank).where(F.col("rank") <= k)
 
@@ -168,6 +166,19 @@ def fuse(dense: DataFrame, sparse: DataFrame, k: int, c: int = RRF_C) -> DataFra
     return both.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
+def fuse_all(points: DataFrame, queries: DataFrame, postings: DataFrame, query_postings: DataFrame, k: int, c: int = RRF_C, depth: int = 100_000) -> DataFrame:
+    """Reciprocal rank fusion where both legs rank all points, not twice the limit alone (query_id, id, score, rank).
+
+    The dense leg ranks every point of up to ``depth``; the sparse one every point that shares a token, and those without
+    one follow it by id with a score of 0.
+    """
+    dense = dense_topk(points, queries, depth)
+    scored = sparse_topk(postings, query_postings, depth).select("query_id", "id", "score")
+    all_rows = dense.select("query_id", "id").join(scored, ["query_id", "id"], "left").na.fill(0.0, ["score"])
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("id")))
+    return fuse(dense, all_rows.withColumn("rank", rank), k, c)
+
+
 def search(points: DataFrame, queries: DataFrame, kind: str, limit: int, postings: DataFrame | None = None, query_postings: DataFrame | None = None, where: Column | None = None) -> DataFrame:
     """Ranked points of each query: dense, sparse or hybrid (both legs to twice the limit, then fused). An unknown kind is dense. Filters act before ranking."""
     check_limit(limit)

@@ -159,8 +159,7 @@ def gold_relevance(spark: SparkSession, sf: str) -> DataFrame:
     """Chunks of a question's document that hold its answer or a gold block."""
     g = table(spark, sf, "gold_questions").select("qid", F.col("doc_id").alias("gold_doc"), "gold_block_ids", "answer_span").distinct()
     c = table(spark, sf, "chunks").select("chunk_id", "document_id", "text", "block_ids").distinct()
-    met = c.join(g, c.document_id == g.gold_doc)
-    return met.where(evaluation.is_relevant(F.col("document_id"), F.col("block_ids"), F.col("text"), F.col("gold_doc"), F.col("gold_block_ids"), F.col("answer_span"))).select("qid", "chunk_id").distinct()
+    return evaluation.relevant_pairs(c, g)
 
 
 _RELEVANT_SQL = r"""with g as (select distinct qid, doc_id, gold_block_ids, lower(trim(regexp_replace(coalesce(answer_span, ''), '[\t-\r\x1c-\x20\x85\p{Z}]+', ' ', 'g'))) as span, answer_span from gold_questions), c as (select distinct chunk_id, document_id, lower(trim(regexp_replace(coalesce(text, ''), '[\t-\r\x1c-\x20\x85\p{Z}]+', ' ', 'g'))) as t, block_ids from chunks)

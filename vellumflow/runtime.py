@@ -22,6 +22,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, name: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        # checkpoints go when nothing refers to them any more; a cluster sets this itself
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
@@ -52,10 +54,12 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the cluster; only where none is named, one below /tmp for tests."""
+    """The shared checkpoint folder of the cluster; only where none is named and all runs on this machine, one below /tmp."""
     sc = spark.sparkContext
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if conf is None:
+        if not sc.master.startswith("local") and sc._jsc.sc().getCheckpointDir().isEmpty():
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         conf = "file://" + os.path.join(tempfile.gettempdir(), "vellumflow-checkpoints")
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(conf)
