@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from vellumflow.functions import ids, quality, vectors, visual
 from vellumflow.functions.text import count_words
 from vellumflow.operators import chunking, retrieval, structure, toc
+from vellumflow.plans.chunk_sql import structural_sql
 from vellumflow.plans.text_queries import _STRIP, _WORDS, _noise_sql, _sql, _sub
 from vellumflow.runtime import table
 
@@ -67,8 +68,12 @@ def _chunk_blocks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def structural_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    good, _ = chunking.chunks(_chunk_blocks(spark, sf))
-    return good
+    """Chunks of all blocks, lists as strings, and the digest of what goes to an embedding model."""
+    good, _ = chunking.chunks(_chunk_blocks(spark, sf), rejected_texts=False)
+    joined = {c: F.array_join(c, ",") for c in ("block_ids", "page_numbers", "overlap_block_ids")} | {"section_path": F.array_join("section_path", " > ")}
+    fed = F.sha2(chunking.embedding_input(F.col("text"), F.col("contextualized_text")), 256)
+    kept = ["document_id", "chunk_index", "chunk_id", "previous_chunk_id", "text", "token_count", "character_count", "content_type", "split_method", "section_kind", "heading_level", "page_start", "page_end", "overlap_token_count", "is_continuation", "first_item", "last_item"]
+    return good.select(*kept, fed.alias("input_sha256"), *[v.alias(k) for k, v in joined.items()])
 
 
 def indexed_points(spark: SparkSession, sf: str) -> DataFrame:
@@ -200,7 +205,7 @@ QUERIES = {
     "repeated_furniture": (repeated_furniture, _FURNITURE_SQL),
     "section_state": (section_state, _section_sql()),
     "page_merges": (page_merges, None),
-    "structural_chunks": (structural_chunks, None),
+    "structural_chunks": (structural_chunks, structural_sql()),
     "indexed_points": (indexed_points, None),
     "chunk_report": (chunk_report, None),
     "legacy_chunks": (legacy_chunks, None),
