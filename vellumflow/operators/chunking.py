@@ -341,9 +341,14 @@ def chunks(blocks: DataFrame, titles: DataFrame | None = None, cfg: ChunkConfig
     return approved, made.join(bad, key) if rejected_texts else bad
 
 
+def blocks_by_type(blocks: DataFrame) -> DataFrame:
+    """(document_id, k, count): blocks with an id of each document by type in small letters, unknown where it has none."""
+    return blocks.groupBy("document_id", F.coalesce(F.lower("block_type"), F.lit("unknown")).alias("k")).agg(F.count("block_id").alias("count"))
+
+
 def chunk_report(approved: DataFrame, rejected: DataFrame, blocks: DataFrame) -> DataFrame:
     """A row for each document: blocks by type, rejections by reason, token statistics, pages, cuts and bytes."""
-    by_type = blocks.groupBy("document_id", F.coalesce(F.lower("block_type"), F.lit("unknown")).alias("k")).count().groupBy("document_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "count")))).alias("blocks_by_type"))
+    by_type = blocks_by_type(blocks).groupBy("document_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "count")))).alias("blocks_by_type"))
     by_reason = rejected.groupBy("document_id", "reason").count().groupBy("document_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("reason", "count")))).alias("rejected_by_reason"))
     stats = token_statistics(approved, "document_id")
     counted = approved.groupBy("document_id").agg(

@@ -78,7 +78,16 @@ def compare(first: DataFrame, second: DataFrame, key: str = "query_id") -> DataF
 
 
 def eligible_passages(chunks: DataFrame, low: int = 60, high: int = 420, kinds: tuple[str, ...] = ("body_paragraph", "structured_table")) -> DataFrame:
-    return chunks.where(F.col("token_count").between(low, high) & F.col("normalized_type").isin(*kinds))
+    return chunks.where(fit_length(F.col("token_count"), low, high) & F.col("normalized_type").isin(*kinds))
+
+
+def fit_length(tokens: Column, low: int = 60, high: int = 420) -> Column:
+    return tokens.between(low, high)
+
+
+def stated_well(question: Column, span: Column) -> Column:
+    """Whether a question and its answer are long enough to be judged."""
+    return (F.length(F.trim(question)) >= 12) & (F.length(F.trim(span)) >= 6)
 
 
 def spread(df: DataFrame, k: int, order: str) -> DataFrame:
@@ -96,5 +105,5 @@ def spread(df: DataFrame, k: int, order: str) -> DataFrame:
 def acceptable_gold(gold: DataFrame, passages: DataFrame, key: str = "chunk_id") -> DataFrame:
     """Gold questions of 12 characters or more whose answer has 6 or more and stands in the passage, accents and punctuation aside."""
     rows = gold.join(passages.select(key, F.col("text").alias("__text")), key)
-    good = (F.length(F.trim("question")) >= 12) & (F.length(F.trim("answer_span")) >= 6) & match_key(F.col("__text")).contains(match_key(F.col("answer_span")))
+    good = stated_well(F.col("question"), F.col("answer_span")) & match_key(F.col("__text")).contains(match_key(F.col("answer_span")))
     return rows.where(F.coalesce(good, F.lit(False))).drop("__text")

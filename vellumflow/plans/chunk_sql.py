@@ -101,3 +101,69 @@ nm as (select *, (row_number() over (partition by document_id order by o nulls f
 id as (select *, sha256(concat_ws('|', document_id, '', '', '{cfg.chunking_version}', '{cfg.hash}', chunk_index::varchar, sha256(trim(regexp_replace(text, '{_W}+', ' ', 'g'))))) as chunk_id from nm)
 select document_id, chunk_index, chunk_id, lag(chunk_id) over (partition by document_id order by chunk_index) as previous_chunk_id, text, sha256(case when coalesce(len(path), 0) > 0 then 'Seção: ' || array_to_string(path, ' > ') || chr(10) || chr(10) || text else text end) as input_sha256,
  tokens::integer as token_count, length(text)::integer as character_count, type as content_type, method as split_method, array_to_string(ids, ',') as block_ids, array_to_string(path, ' > ') as section_path, sk as section_kind, level as heading_level, list_min(pages) as page_start, list_max(pages) as page_end, array_to_string(pages, ',') as page_numbers, ov::integer as overlap_token_count, array_to_string(ov_ids, ',') as overlap_block_ids, more as is_continuation, first::integer as first_item, last::integer as last_item from id"""
+
+
+_ONCE = """d as (select document_id, block_id, arg_min(b, (ingested_at, lower(coalesce(block_type, '')), page_number)) as r from blocks b group by 1, 2)"""
+
+
+def capitals_sql(t: str) -> str:
+    """Spaced capitals joined, then white space squashed, token by token."""
+    parts = f"string_split_regex(coalesce({t}, ''), '{_W}')"
+    goes = r"regexp_matches(w[i], '(^|[^\p{L}\p{N}_])[A-ZÀ-Ú]$') and coalesce(regexp_matches(w[i + 1], '^[A-ZÀ-Ú]$'), false)"
+    glued = f"list_transform(range(1, len(w) + 1), lambda i: w[i] || case when {goes} then '' else ' ' end)"
+    return f"(select trim(regexp_replace(array_to_string({glued}, ''), ' +', ' ', 'g')) from (select {parts} as w))"
+
+
+def _rejected(t: str, kind: str) -> str:
+    """Whether the older strategy's rules reject a text."""
+    s, words = _strip(t), _words(t)
+    urls = rf"""length(array_to_string(regexp_extract_all({t}, '(?i)https?://[^\s<>"'']+|www\.[^\s<>"'']+'), ''))"""
+    lines = f"list_filter(list_transform(string_split({t}, chr(10)), lambda x: {_strip('x')}), lambda x: x <> '')"
+    cells = "(contains(x, '|') or contains(x, chr(9)))"
+    rows = rf"len(list_filter({lines}, lambda x: {cells} and not regexp_matches(x, '^\|?[\s\-:]+\|')))"
+    caption = f"len(list_filter(list_slice({lines}, 1, 2), lambda x: lower(x) like 'tabela%' or lower(x) like 'table%')) > 0"
+    outside = f"length(array_to_string(list_filter({lines}, lambda x: not {cells}), ' '))"
+    solid = f"length(regexp_replace({t}, '{_W}', '', 'g'))"
+    complete = rf"""(length({s}) >= 20 and regexp_matches({s}, '^[A-ZÀ-ÚÄ-Ü0-9"''(\[]') and regexp_matches({s}, '[.!?;:]$') and {words} >= 5)"""
+    return rf"""(length(regexp_replace({t}, '[^a-zA-ZÀ-ÿ0-9]', '', 'g')) < 10 or {s} = '' or coalesce({solid} > 0 and {urls} / {solid}::double > 0.85, false)
+ or (length({s}) <= 120 and not contains({s}, chr(10)) and not regexp_matches({s}, '[.!?;:]$')) or ({kind} = 'table' and {rows} < 2 and not ({caption}) and {outside} < 50) or round_even({_noise_sql(t)}, 2) >= 0.65 or {words} < 10 or (length({t}) < 300 and not {complete}))"""
+
+
+def legacy_sql(largest: int = 1200, overlap: int = 250) -> str:
+    """The older strategy on all blocks: sections carried, texts filtered, long ones cut by characters, parts filtered."""
+    cut = f"right(p.cur, {overlap})"
+    space = f"(strpos({cut}, ' ') - 1)"
+    head = f"case when {space} > 0 and {space} < length({cut}) // 2 then {_strip(f'substr({cut}, {space} + 1)')} else {cut} end"
+    over = f"length(p.cur) + length(s.s) > {largest}"
+    fresh = _strip(f"{head} || ' ' || s.s")
+    return rf"""with recursive {_ONCE},
+b as (select document_id, block_id, r.order_index as position, case when lower(r.block_type) in ('heading', 'table') then lower(r.block_type) else 'paragraph' end as type, r.text as text from d),
+c as (select *, coalesce(last_value(case when type = 'heading' then trim(text) end ignore nulls) over (partition by document_id order by position nulls first rows unbounded preceding), 'Introdução') as section from b),
+k as (select document_id, position, block_id, type, section, case when type = 'table' then coalesce(text, '') else {capitals_sql('text')} end as t, text as raw from c where type <> 'heading'),
+f as (select * from k where not {_rejected('t', 'type')}),
+u as (select document_id, block_id, unnest(string_split(regexp_replace(t, '([.!?]){_W}+', '\1{_END}', 'g'), '{_END}')) as s, generate_subscripts(string_split(regexp_replace(t, '([.!?]){_W}+', '\1{_END}', 'g'), '{_END}'), 1) as k from f where type <> 'table' and length(t) > {largest}),
+z as (select document_id, block_id, k, 0 as part, null::varchar as done, case when length(s) > {largest} then {_strip('s')} else s end as cur from u where k = 1
+ union all select s.document_id, s.block_id, s.k, p.part + (case when {over} then 1 else 0 end), case when {over} then {_strip('p.cur')} end, case when {over} then {fresh} when p.cur = '' then s.s else p.cur || ' ' || s.s end from z p join u s on s.document_id = p.document_id and s.block_id = p.block_id and s.k = p.k + 1),
+parts as (select document_id, block_id, part - 1 as part, done as text from z where done is not null union all select document_id, block_id, part, {_strip('cur')} from (select *, row_number() over (partition by document_id, block_id order by k desc) as back from z) where back = 1),
+w as (select document_id, position, 0 as part, section, type, case when type = 'table' then raw else t end as text from f where type = 'table' or length(t) <= {largest}
+ union all select f.document_id, position, parts.part, section, type, text from parts join f using (document_id, block_id) where not {_rejected('text', 'type')})
+select document_id, position, part::integer as part, section, type, text from w"""
+
+
+def page_merge_sql(tolerance: float = 0.12) -> str:
+    """Paragraphs put together over page breaks, as a walk along each run of paragraphs that may go on."""
+    far = f"coalesce(len(s.box) >= 4 and len(p.box) >= 4 and abs(p.box[1] - s.box[1]) > greatest(60.0, {tolerance} * greatest(p.box[3], s.box[3], 1.0)), false)"
+    joins = f"(coalesce(s.page > p.page, false) and not {far})"
+    left = f"regexp_replace(p.t, '{_W}+$', '')"
+    right = f"regexp_replace(s.t, '^{_W}+', '')"
+    glued = f"case when regexp_matches({left}, '[A-Za-zÀ-ÿ]-$') then left({left}, -1) || {right} else {left} || ' ' || {right} end"
+    return rf"""with recursive {_ONCE},
+b as (select document_id, block_id, r.order_index as o, lower(r.block_type) as kind, coalesce(r.text, '') as t, r.page_number as page, r.bbox as box, {{'p': coalesce(r.section_path, []), 'k': coalesce(r.section_kind, '')}} as path from d),
+l as (select *, lag(kind) over w as kind0, lag(path) over w as path0, lag(t) over w as t0 from b window w as (partition by document_id order by o nulls first, block_id)),
+j as (select *, coalesce(kind = 'paragraph' and kind0 = 'paragraph' and path = path0 and page is not null and not regexp_matches(t0, '[.!?:;”"''\)\]]\s*$') and regexp_matches(t, '^\s*(?:R\$|US\$|[a-zà-ÿ0-9(%,\-–—])'), false) as goes from l),
+r as (select *, sum((not goes)::int) over (partition by document_id order by o nulls first, block_id rows unbounded preceding) as run from j),
+s as (select *, row_number() over (partition by document_id, run order by o nulls first, block_id) as k from r),
+z as (select document_id, run, k, o, 0 as g, page, box, t, [block_id] as ids, [page] as pages from s where k = 1
+ union all select s.document_id, s.run, s.k, case when {joins} then p.o else s.o end, p.g + (not {joins})::int, case when {joins} then p.page else s.page end, case when {joins} then p.box else s.box end, case when {joins} then {glued} else s.t end, case when {joins} then list_append(p.ids, s.block_id) else [s.block_id] end, case when {joins} then list_append(p.pages, s.page) else [s.page] end from z p join s on s.document_id = p.document_id and s.run = p.run and s.k = p.k + 1),
+e as (select *, row_number() over (partition by document_id, run, g order by k desc) as back from z)
+select document_id, o as order_index, array_to_string(ids, ',') as block_ids, array_to_string(list_sort(list_distinct(pages)), ',') as pages, t as text from e where back = 1 and len(ids) > 1"""

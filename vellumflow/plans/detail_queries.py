@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from vellumflow.functions import ids, text
 from vellumflow.operators import chunking, state
+from vellumflow.plans.chunk_sql import capitals_sql
 from vellumflow.runtime import table
+from vellumflow.sources import stores
 
 _WS = text.WS[1:-1]
 
@@ -18,8 +20,8 @@ def _once(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
 
 def block_histogram(spark: SparkSession, sf: str) -> DataFrame:
     """Blocks of each document by type, as the report counts them."""
-    b = table(spark, sf, "blocks").select("document_id", "block_id", F.coalesce(F.lower("block_type"), F.lit("unknown")).alias("type"))
-    return b.groupBy("document_id", "type").agg(F.countDistinct("block_id").alias("n_blocks"))
+    b = table(spark, sf, "blocks").select("document_id", "block_id", F.lower("block_type").alias("block_type")).distinct()
+    return chunking.blocks_by_type(b).withColumnRenamed("k", "type").withColumnRenamed("count", "n_blocks")
 
 
 def context_hashes(spark: SparkSession, sf: str) -> DataFrame:
@@ -78,9 +80,9 @@ def clamped_priorities(spark: SparkSession, sf: str) -> DataFrame:
 def review_flags(spark: SparkSession, sf: str) -> DataFrame:
     """Whether a chunk needs a look: by the mean of what is known of its quality, and where nothing is."""
     q = table(spark, sf, "chunk_quality").select("chunk_id", F.when((F.col("quality_score") >= 0) & (F.col("quality_score") <= 1), F.col("quality_score")).alias("a"), F.when((F.col("ocr_noise_score") >= 0) & (F.col("ocr_noise_score") <= 1), 1 - F.col("ocr_noise_score")).alias("b"), "needs_llm_repair").distinct()
-    known = F.array_compact(F.array("a", "b"))
-    mean = F.aggregate(known, F.lit(0.0), lambda s, x: s + x) / F.size(known)
-    return q.groupBy(F.coalesce("needs_llm_repair", F.when(F.size(known) > 0, mean < 0.6), F.lit(True)).alias("review")).agg(F.count(F.lit(1)).alias("n_rows"))
+    have = {"title_confidence": F.col("a"), "authors_confidence": F.col("b"), "needs_review": F.col("needs_llm_repair")}
+    stated = F.struct(*[have.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in stores.METADATA.fields])
+    return q.select(stated.alias("m")).groupBy(stores.needs_review(F.col("m")).alias("review")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 _REVIEW_SQL = """with q as (select distinct chunk_id, case when not isnan(quality_score) and quality_score between 0 and 1 then quality_score end as a, case when not isnan(ocr_noise_score) and ocr_noise_score between 0 and 1 then 1 - ocr_noise_score end as b, needs_llm_repair from chunk_quality)
@@ -90,7 +92,10 @@ select coalesce(needs_llm_repair, case when a is null and b is null then true el
 def stored_text_heads(spark: SparkSession, sf: str) -> DataFrame:
     """First 64 characters of stored texts by source, as a bounded read gives them, by their digests."""
     d = table(spark, sf, "documents").where("text is not null")
-    return d.select("doc_id", F.octet_length(F.encode("text", "utf-8")).cast("bigint").alias("size_bytes"), F.sha2("text", 256).alias("sha256"), F.sha2(F.left("text", F.lit(64)), 256).alias("head_sha256"))
+    return d.select("doc_id", F.octet_length(F.encode("text", "utf-8")).cast("bigint").alias("size_bytes"), F.sha2("text", 256).alias("sha256"), F.sha2(F.left(stores.as_text(F.encode("text", "utf-8")), F.lit(64)), 256).alias("head_sha256"))
+
+
+_CAPITALS_SQL = f"with d as (select source, {capitals_sql('text')} as t, trim(regexp_replace(coalesce(text, ''), '[{_WS}]+', ' ', 'g')) as plain from documents) select source, sum(length(t))::bigint as n_chars, count_if(t <> plain) as n_joined from d group by 1"
 
 
 QUERIES = {
@@ -99,7 +104,7 @@ QUERIES = {
     "artifact_keys": (artifact_keys, _KEYS_SQL),
     "sentence_ends": (sentence_ends, _ENDS_SQL),
     "event_properties": (event_properties, _PROPS_SQL),
-    "clean_capitals": (clean_capitals, None),
+    "clean_capitals": (clean_capitals, _CAPITALS_SQL),
     "clamped_priorities": (clamped_priorities, "select least(greatest(coalesce(floor(value)::int, 50), 10), 60)::int as priority, count(*) as n_events from events group by 1"),
     "review_flags": (review_flags, _REVIEW_SQL),
     "stored_text_heads": (stored_text_heads, "select doc_id, octet_length(encode(text))::bigint as size_bytes, sha256(text) as sha256, sha256(left(text, 64)) as head_sha256 from documents where text is not null"),

@@ -113,9 +113,9 @@ def not_indexed(spark: SparkSession, sf: str) -> DataFrame:
 
 def upsert_quality(spark: SparkSession, sf: str) -> DataFrame:
     """One quality row a chunk: of the deliveries the one evaluated last."""
-    q = table(spark, sf, "chunk_quality").where("chunk_id is not null").select("chunk_id", "token_count", "char_count", "evaluated_at")
-    best = q.groupBy("chunk_id").agg(F.max(F.struct(F.coalesce("evaluated_at", F.lit("1900-01-01").cast("timestamp_ntz")), F.coalesce("token_count", F.lit(-1)), F.coalesce("char_count", F.lit(-1)))).alias("r"))
-    return best.select("chunk_id", F.col("r.col2").alias("token_count"), F.col("r.col3").alias("char_count"))
+    q = table(spark, sf, "chunk_quality").where("chunk_id is not null").select("chunk_id", F.coalesce("token_count", F.lit(-1)).alias("token_count"), F.coalesce("char_count", F.lit(-1)).alias("char_count"), "evaluated_at")
+    rows = q.withColumn("version", F.struct(F.coalesce("evaluated_at", F.lit("1900-01-01").cast("timestamp_ntz")), "token_count", "char_count"))
+    return state.upsert(rows.where("evaluated_at is null"), rows.where("evaluated_at is not null"), "chunk_id", "version").select("chunk_id", "token_count", "char_count")
 
 
 _UPSERT_SQL = "select chunk_id, r.b as token_count, r.c as char_count from (select chunk_id, max({'a': coalesce(evaluated_at, timestamp '1900-01-01'), 'b': coalesce(token_count, -1), 'c': coalesce(char_count, -1)}) as r from chunk_quality where chunk_id is not null group by 1)"
@@ -128,6 +128,14 @@ def message_guard(spark: SparkSession, sf: str) -> DataFrame:
     return d.groupBy(F.coalesce(ids.message_problem(message, 4096), F.lit("fine")).alias("problem")).agg(F.count(F.lit(1)).alias("n_docs"))
 
 
+_SAID = "octet_length(encode(to_json({0})::varchar))"
+_GUARD_SQL = (
+    "with m as (select doc_id::varchar as a, source as b, text as c from documents), k as (select *, list_filter([a, b, c], lambda v: v is not null) as vs, "
+    + "(1 + " + " + ".join(f"case when {v} is null then 0 else {len(name) + 4} + {_SAID.replace('{0}', v)} end" for v, name in (("a", "doc"), ("b", "source"), ("c", "summary"))) + ") as size from m) "
+    + r"select case when len(list_filter(vs, lambda v: regexp_matches(v, '^(JVBERi0|iVBORw0KGgo|/9j/|data:[\w/+.-]+;base64,)') or contains(v, chr(0)))) > 0 then 'binary_value' when size > 4096 then 'too_large' else 'fine' end as problem, count(*) as n_docs from k group by 1"
+)
+
+
 def payload_sizes(spark: SparkSession, sf: str) -> DataFrame:
     """Values that a chunk's payload keeps once nulls are dropped."""
     c = table(spark, sf, "chunks").select("chunk_id", "section_title", "section_kind", "split_method", "tokenizer_name", "item_uuid").distinct()
@@ -149,7 +157,7 @@ _SPREAD_SQL = "with g as (select qid, min(doc_id) as doc_id from gold_questions
 
 def eligible_gold(spark: SparkSession, sf: str) -> DataFrame:
     g = table(spark, sf, "gold_questions")
-    ok = F.col("passage_tokens").between(60, 420) & (F.length(F.trim("question")) >= 12) & (F.length(F.trim("answer_span")) >= 6)
+    ok = evaluation.fit_length(F.col("passage_tokens")) & evaluation.stated_well(F.col("question"), F.col("answer_span"))
     return g.groupBy("section_kind").agg(F.count(F.lit(1)).alias("n_questions"), F.count_if(ok).alias("n_eligible"))
 
 
@@ -166,7 +174,7 @@ QUERIES = {
     "reindex_replace": (reindex_replace, _REPLACE_SQL),
     "not_indexed": (not_indexed, "select distinct document_id from manifests where document_id not in (select document_id from chunks where document_id is not null)"),
     "upsert_quality": (upsert_quality, _UPSERT_SQL),
-    "message_guard": (message_guard, None),
+    "message_guard": (message_guard, _GUARD_SQL),
     "payload_sizes": (payload_sizes, _PAYLOAD_SQL),
     "gold_sample": (gold_sample, _SPREAD_SQL),
     "eligible_gold": (eligible_gold, "select section_kind, count(*) as n_questions, count_if(coalesce(passage_tokens between 60 and 420 and length(trim(question)) >= 12 and length(trim(answer_span)) >= 6, false)) as n_eligible from gold_questions group by 1"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vellumflow.functions import ids, quality, vectors, visual
 from vellumflow.functions.text import count_words
 from vellumflow.operators import chunking, retrieval, structure, toc
-from vellumflow.plans.chunk_sql import structural_sql
+from vellumflow.plans.chunk_sql import legacy_sql, page_merge_sql, structural_sql
 from vellumflow.plans.text_queries import _STRIP, _WORDS, _noise_sql, _sql, _sub
 from vellumflow.runtime import table
 
@@ -204,11 +204,11 @@ def toc_report(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "repeated_furniture": (repeated_furniture, _FURNITURE_SQL),
     "section_state": (section_state, _section_sql()),
-    "page_merges": (page_merges, None),
+    "page_merges": (page_merges, page_merge_sql()),
     "structural_chunks": (structural_chunks, structural_sql()),
     "indexed_points": (indexed_points, None),
     "chunk_report": (chunk_report, None),
-    "legacy_chunks": (legacy_chunks, None),
+    "legacy_chunks": (legacy_chunks, legacy_sql()),
     "chunk_verdicts": (chunk_verdicts, _VERDICT_SQL),
     "retrieval_classes": (retrieval_classes, _CLASS_SQL),
     "chunk_ids": (chunk_ids, _ID_SQL),
