@@ -44,6 +44,26 @@ def _walk(name: str, source: str, keys: str, opens: str, more: str = "false") ->
 
 def structural_sql(cfg: ChunkConfig = ChunkConfig()) -> str:
     """Approved chunks of all blocks under the default modes of a configuration."""
+    return f"""{_chunked(cfg)}
+select document_id, chunk_index, chunk_id, lag(chunk_id) over (partition by document_id order by chunk_index) as previous_chunk_id, text, sha256(case when coalesce(len(path), 0) > 0 then 'Seção: ' || array_to_string(path, ' > ') || chr(10) || chr(10) || text else text end) as input_sha256,
+ tokens::integer as token_count, length(text)::integer as character_count, type as content_type, method as split_method, array_to_string(ids, ',') as block_ids, array_to_string(path, ' > ') as section_path, sk as section_kind, level as heading_level, list_min(pages) as page_start, list_max(pages) as page_end, array_to_string(pages, ',') as page_numbers, ov::integer as overlap_token_count, array_to_string(ov_ids, ',') as overlap_block_ids, more as is_continuation, first::integer as first_item, last::integer as last_item from id"""
+
+
+def report_sql(cfg: ChunkConfig = ChunkConfig()) -> str:
+    """The report on each document's chunks."""
+    size = "octet_length(encode(to_json({'chunk_id': chunk_id, 'chunk_index': chunk_index, 'text': text, 'content_type': type})::varchar)) + 1"
+    return f"""{_chunked(cfg)},
+bt as (select document_id, string_agg(k || '=' || c, ',' order by k) as blocks_by_type from (select document_id, coalesce(kind, 'unknown') as k, count(*) as c from b group by 1, 2) group by 1),
+rj as (select document_id, string_agg(reason || '=' || c, ',' order by reason) as rejected_by_reason from (select document_id, reason, count(*) as c from jd where reason <> 'aprovado' group by 1, 2) group by 1),
+rk as (select *, row_number() over (partition by document_id order by tokens) - 1 as at_place, count(*) over (partition by document_id) as c from id),
+ts as (select document_id, count(*) as chunk_count, round_even(avg(tokens), 2) as avg_tokens, median(tokens) as median_tokens, min(tokens)::integer as min_tokens, max(tokens)::integer as max_tokens, max(case when at_place = floor(c * 0.95) then tokens end)::integer as p95_tokens, count_if(tokens < 80)::bigint as below_min, count_if(tokens > 768)::bigint as above_max,
+ sum(ov)::bigint as overlap_tokens, count_if(method = 'sentence')::bigint as sentence_splits, count_if(method = 'token_fallback')::bigint as token_splits, count_if(type = 'table')::bigint as table_chunks, count_if(type = 'list')::bigint as list_chunks, len(list_distinct(flatten(list(pages))))::integer as pages_covered,
+ count_if(type in ('paragraph', 'references') and right(regexp_replace(text, '{_W}+$', ''), 1) not in ('.', '!', '?', '…', '”', '"', ')'))::bigint as mid_sentence_cuts, sum({size})::bigint as jsonl_bytes from rk group by 1)
+select * from bt left join rj using (document_id) left join ts using (document_id)"""
+
+
+def _chunked(cfg: ChunkConfig) -> str:
+    """CTEs up to jd, all drafts with their reasons, and id, the approved ones with their numbers and ids."""
     hidden = ", ".join(f"'{k}'" for k in ("front_matter", *NAVIGATION))
     exempt = "type in ('table', 'list', 'figure_caption', 'references', 'formula', 'quote', 'footnote')"
     noisy = "type in ('paragraph', 'references', 'quote', 'footnote')"
@@ -96,11 +116,9 @@ a1 as (select *, count(*) over (partition by document_id, block_id) as c from al
 every as (select document_id, island, g, o, b0, case when fits then head || chr(10) || chr(10) || text else text end as text, case role when 'reference' then 'references' else 'paragraph' end as type, method, ids, pages, path, sk, level, case when fits then {_words('head')} else ov end as ov, case when fits then ids0 else ov_ids end as ov_ids, null::bigint as first, null::bigint as last, false as more from gf
  union all select document_id, island, a1.g, o, block_id, a1.text, case role when 'figure' then 'figure_caption' else role end, case when c = 1 then 'block' else method end, [block_id], case when page is null then []::integer[] else [page] end, shown_path, sk, hl, 0, []::varchar[], first, last, a1.g > 0 from a1 join i using (document_id, block_id)),
 ev as (select *, {_strip('text')} as s, {_words('text')} as tokens from every),
-good as (select * from ev where not (type <> 'table' and tokens > {cfg.force_split_above_tokens}) and s <> '' and not (not {exempt} and length(regexp_replace(text, '[^a-zA-ZÀ-ÿ0-9]', '', 'g')) < 10) and not ({noisy} and round_even({_noise_sql('text')}, 2) >= 0.65) and not (not {exempt} and tokens < 10 and not {complete})),
-nm as (select *, (row_number() over (partition by document_id order by o nulls first, b0, island, g) - 1)::integer as chunk_index from good),
-id as (select *, sha256(concat_ws('|', document_id, '', '', '{cfg.chunking_version}', '{cfg.hash}', chunk_index::varchar, sha256(trim(regexp_replace(text, '{_W}+', ' ', 'g'))))) as chunk_id from nm)
-select document_id, chunk_index, chunk_id, lag(chunk_id) over (partition by document_id order by chunk_index) as previous_chunk_id, text, sha256(case when coalesce(len(path), 0) > 0 then 'Seção: ' || array_to_string(path, ' > ') || chr(10) || chr(10) || text else text end) as input_sha256,
- tokens::integer as token_count, length(text)::integer as character_count, type as content_type, method as split_method, array_to_string(ids, ',') as block_ids, array_to_string(path, ' > ') as section_path, sk as section_kind, level as heading_level, list_min(pages) as page_start, list_max(pages) as page_end, array_to_string(pages, ',') as page_numbers, ov::integer as overlap_token_count, array_to_string(ov_ids, ',') as overlap_block_ids, more as is_continuation, first::integer as first_item, last::integer as last_item from id"""
+jd as (select *, case when type <> 'table' and tokens > {cfg.force_split_above_tokens} then 'too_large' when s = '' then 'vazio' when not {exempt} and length(regexp_replace(text, '[^a-zA-ZÀ-ÿ0-9]', '', 'g')) < 10 then 'sem_corpo_textual' when {noisy} and round_even({_noise_sql('text')}, 2) >= 0.65 then 'ruido_ocr_excessivo' when not {exempt} and tokens < 10 and not {complete} then 'abaixo_do_minimo_de_tokens' else 'aprovado' end as reason from ev),
+nm as (select *, (row_number() over (partition by document_id order by o nulls first, b0, island, g) - 1)::integer as chunk_index from jd where reason = 'aprovado'),
+id as (select *, sha256(concat_ws('|', document_id, '', '', '{cfg.chunking_version}', '{cfg.hash}', chunk_index::varchar, sha256(trim(regexp_replace(text, '{_W}+', ' ', 'g'))))) as chunk_id from nm)"""
 
 
 _ONCE = """d as (select document_id, block_id, arg_min(b, (ingested_at, lower(coalesce(block_type, '')), page_number)) as r from blocks b group by 1, 2)"""

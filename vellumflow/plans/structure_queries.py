@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vellumflow.functions import ids, quality, vectors, visual
 from vellumflow.functions.text import count_words
 from vellumflow.operators import chunking, retrieval, structure, toc
-from vellumflow.plans.chunk_sql import legacy_sql, page_merge_sql, structural_sql
+from vellumflow.plans.chunk_sql import legacy_sql, page_merge_sql, report_sql, structural_sql
 from vellumflow.plans.text_queries import _STRIP, _WORDS, _noise_sql, _sql, _sub
 from vellumflow.runtime import table
 
@@ -87,7 +87,9 @@ def indexed_points(spark: SparkSession, sf: str) -> DataFrame:
 def chunk_report(spark: SparkSession, sf: str) -> DataFrame:
     b = _chunk_blocks(spark, sf)
     good, bad = chunking.chunks(b, rejected_texts=False)
-    return chunking.chunk_report(good, bad, b)
+    r = chunking.chunk_report(good, bad, b)
+    listed = lambda c: F.array_join(F.transform(F.map_entries(c), lambda e: F.concat_ws("=", e["key"], e["value"])), ",").alias(c)
+    return r.select(*[c for c in r.columns if c not in ("blocks_by_type", "rejected_by_reason")], listed("blocks_by_type"), listed("rejected_by_reason"))
 
 
 def legacy_chunks(spark: SparkSession, sf: str) -> DataFrame:
@@ -207,7 +209,7 @@ QUERIES = {
     "page_merges": (page_merges, page_merge_sql()),
     "structural_chunks": (structural_chunks, structural_sql()),
     "indexed_points": (indexed_points, None),
-    "chunk_report": (chunk_report, None),
+    "chunk_report": (chunk_report, report_sql()),
     "legacy_chunks": (legacy_chunks, legacy_sql()),
     "chunk_verdicts": (chunk_verdicts, _VERDICT_SQL),
     "retrieval_classes": (retrieval_classes, _CLASS_SQL),

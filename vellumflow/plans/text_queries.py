@@ -131,6 +131,18 @@ def markdown_blocks(spark: SparkSession, sf: str) -> DataFrame:
     return readers.markdown_blocks(table(spark, sf, "documents"))
 
 
+_MARKDOWN_SQL = r"""with l as (select doc_id as document_id, generate_subscripts(string_split(regexp_replace(coalesce(text, ''), '\r\n?', chr(10), 'g'), chr(10)), 1) as k, unnest(string_split(regexp_replace(coalesce(text, ''), '\r\n?', chr(10), 'g'), chr(10))) as y from documents),
+m as (select document_id, k, regexp_replace(y, '^[\t-\r\x1c-\x20\x85\p{Z}]+|[\t-\r\x1c-\x20\x85\p{Z}]+$', '', 'g') as x from l),
+c as (select *, contains(x, '|') as pipe, case when regexp_matches(x, '^#{1,6}\s+') then 'heading' when length(x) - length(replace(x, '|', '')) >= 2 then 'table' when regexp_matches(x, '^([-*+]|\d+[.)])\s+.+$') then 'list' when x = '' then 'blank' else 'paragraph' end as own from m),
+t as (select *, max(case when own = 'table' then k end) over w as last_table, max(case when not pipe then k end) over w as last_bare from c window w as (partition by document_id order by k rows unbounded preceding)),
+n as (select *, case when pipe and last_table > coalesce(last_bare, 0) then 'table' else own end as type from t),
+o as (select *, case when type = 'heading' or type is distinct from lag(type) over (partition by document_id order by k) then 1 else 0 end as opens from n),
+g as (select *, sum(opens) over (partition by document_id order by k rows unbounded preceding) as g from o),
+b as (select document_id, g, type, min(length(regexp_extract(x, '^(#{1,6})', 1))) as level, list(case type when 'heading' then regexp_replace(x, '^#{1,6}[\s\p{Z}]+', '') when 'list' then '- ' || regexp_replace(x, '^([-*+]|\d+[.)])[\s\p{Z}]+', '') else x end order by k) as xs from g where type <> 'blank' group by 1, 2, 3),
+r as (select *, row_number() over (partition by document_id order by g) - 1 as position, case when type = 'paragraph' then trim(regexp_replace(array_to_string(xs, ' '), '[\t-\r\x1c-\x20\x85\p{Z}]+', ' ', 'g')) else array_to_string(xs, chr(10)) end as text from b)
+select document_id, position::integer as position, type, case when type = 'heading' then level::integer end as level, text, case when type = 'list' then len(xs)::integer end as items from r where text <> ''"""
+
+
 def word_pieces(spark: SparkSession, sf: str) -> DataFrame:
     """Texts in pieces of 128 words."""
     return table(spark, sf, "documents").select("doc_id", F.posexplode(text.word_pieces(F.col("text"), 128)).alias("piece_no", "piece")).select("doc_id", "piece_no", F.sha2("piece", 256).alias("piece_sha256"))
@@ -207,7 +219,7 @@ QUERIES = {
     "sentence_split_counts": (sentence_split_counts, _SENTENCE_SQL),
     "paragraph_lengths": (paragraph_lengths, f"with {_PARAGRAPH_SQL} select document_id, count(*) as n_paragraphs, sum(length(text)) as n_chars from paragraphs group by 1"),
     "markdown_line_classes": (markdown_line_classes, _LINE_SQL),
-    "markdown_blocks": (markdown_blocks, None),
+    "markdown_blocks": (markdown_blocks, _MARKDOWN_SQL),
     "word_pieces": (word_pieces, _PIECES_SQL),
     "heading_numbers": (heading_numbers, _HEADING_SQL),
     "match_keys": (match_keys, _KEY_SQL),

@@ -42,31 +42,28 @@ def markdown_blocks(df: DataFrame, doc: str = "doc_id", text: str = "text") -> D
     """Blocks of Markdown: (document_id, position, type, level, text, items).
 
     Headings stand alone. Rows of a table go on while lines hold a pipe. Items and lines of running text gather
-    until a line of another kind; a blank line between items ends the list. Lines are folded inside the row with
-    an array aggregate, so a document needs no shuffle.
+    until a line of another kind; a blank line between items ends the list. All is done inside the row, so a document
+    needs no shuffle, and each line is looked at a fixed number of times.
     """
     lines = F.transform(F.split(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"\r\n?", "\n"), "\n"), strip_ws)
-    shape = "array<struct<type:string,level:int,lines:array<string>>>"
-    start = F.struct(F.array().cast(shape).alias("done"), F.lit("blank").alias("open"))
-
-    def step(state: Column, line: Column) -> Column:
-        kind = line_class(line)
-        inside = (state["open"] == "table") & line.contains("|")
-        kind = F.when(inside, "table").otherwise(kind)
-        body = F.when(kind == "heading", strip_ws(F.regexp_replace(line, r"^#{1,6}\s+", ""))).when(kind == "list", F.concat(F.lit("- "), strip_ws(F.regexp_replace(line, r"^([-*+]|\d+[.)])\s+", "")))).otherwise(line)
-        level = F.when(kind == "heading", F.length(F.regexp_extract(line, "^(#{1,6})", 1)))
-        new = F.struct(kind.alias("type"), level.cast("int").alias("level"), F.array(body).alias("lines"))
-        goes_on = (kind == state["open"]) & (kind != "heading")
-        last = F.try_element_at(state["done"], F.lit(-1))
-        longer = F.struct(last["type"].alias("type"), last["level"].alias("level"), F.concat(last["lines"], F.array(body)).alias("lines"))
-        done = F.when(kind == "blank", state["done"]).when(goes_on, F.concat(F.slice(state["done"], 1, F.size(state["done"]) - 1), F.array(longer))).otherwise(F.concat(state["done"], F.array(new)))
-        return F.struct(done.alias("done"), kind.alias("open"))
-
-    folded = F.aggregate(lines, start, step, lambda s: s["done"])
-    rows = df.select(F.col(doc).alias("document_id"), F.posexplode(folded).alias("position", "b"))
-    joined = F.when(F.col("b.type") == "text", squash_ws(F.array_join("b.lines", " "))).otherwise(F.array_join("b.lines", "\n"))
-    kind = F.when(F.col("b.type") == "text", "paragraph").otherwise(F.col("b.type"))
-    return rows.select("document_id", "position", kind.alias("type"), F.col("b.level").alias("level"), joined.alias("text"), F.when(F.col("b.type") == "list", F.size("b.lines")).alias("items")).where("text <> ''")
+    # a letter for each line: its kind, in capitals where it holds a pipe and isn't the row of a table by itself
+    letter = lambda x: visual.let(line_class(x), lambda k: F.when(k == "heading", F.when(x.contains("|"), "H").otherwise("h")).when(k == "table", "t").when(k == "list", F.when(x.contains("|"), "L").otherwise("l")).when(k == "blank", "b").otherwise(F.when(x.contains("|"), "X").otherwise("x")))
+    kinds = lambda read: F.filter(F.split(F.lower(F.regexp_replace(F.array_join(F.transform(read, letter), ""), r"(?:(?<=t)|\G(?!^))[HLX]", "t")), ""), lambda c: c != "")
+
+    def body(x: Column, k: Column) -> Column:
+        return F.when(k == "h", strip_ws(F.regexp_replace(x, r"^#{1,6}\s+", ""))).when(k == "l", F.concat(F.lit("- "), strip_ws(F.regexp_replace(x, r"^([-*+]|\d+[.)])\s+", "")))).otherwise(x)
+
+    def blocks(read: Column, k: Column, first: Column) -> Column:
+        made = F.transform(first, lambda s, j: F.struct(F.get(k, s).alias("k"), F.length(F.regexp_extract(F.get(read, s), "^(#{1,6})", 1)).alias("level"), F.slice(read, s + 1, F.coalesce(F.get(first, j + 1), F.size(read)) - s).alias("lines")))
+        return F.transform(F.filter(made, lambda b: b["k"] != "b"), lambda b: F.struct(b["k"].alias("k"), b["level"].alias("level"), F.transform(b["lines"], lambda x: body(x, b["k"])).alias("lines")))
+
+    begins = lambda k: F.filter(F.sequence(F.lit(0), F.size(k) - 1), lambda i: (i == 0) | (F.get(k, i) == "h") | (F.get(k, i) != F.get(k, i - 1)))
+    # each step is a value of its own inside the expression, computed once and not again for every line
+    found = visual.let(lines, lambda read: visual.let(kinds(read), lambda k: visual.let(begins(k), lambda first: blocks(read, k, first))))
+    rows = df.select(F.col(doc).alias("document_id"), F.posexplode(found).alias("position", "b"))
+    joined = F.when(F.col("b.k") == "x", squash_ws(F.array_join("b.lines", " "))).otherwise(F.array_join("b.lines", "\n"))
+    kind = F.when(F.col("b.k") == "x", "paragraph").when(F.col("b.k") == "h", "heading").when(F.col("b.k") == "t", "table").otherwise("list")
+    return rows.select("document_id", "position", kind.alias("type"), F.when(F.col("b.k") == "h", F.col("b.level")).alias("level"), joined.alias("text"), F.when(F.col("b.k") == "l", F.size("b.lines")).alias("items")).where("text <> ''")
 
 
 def read_page_lists(spark: SparkSession, path: str, suffix: str = "content_list.json") -> DataFrame:
