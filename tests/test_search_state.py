@@ -1,3 +1,4 @@
+import random
 import time
 
 import numpy as np
@@ -153,6 +154,33 @@ def test_pairs_of_a_hot_group(spark):
     assert sorted(r.m for r in within(few, large, "m").collect()) == sorted(r.m for r in within(few, large, "m", 1).collect()) == [3, 5]
 
 
+def test_fusion_over_all_points(spark):
+    rng = random.Random(4)
+    points = [(i, [rng.random() for _ in range(3)]) for i in range(30)]
+    posts = [(i, t, float(rng.randint(1, 3))) for i in range(30) for t in rng.sample("abcde", 2)]
+    p = spark.createDataFrame(points, "id int, vector array<double>")
+    q = spark.createDataFrame([(0, [1.0, 0.0, 0.0]), (1, [0.1, 0.7, 0.3])], "query_id int, vector array<double>")
+    qp = spark.createDataFrame([(0, "a", 1.0), (1, "b", 2.0), (1, "c", 1.0)], "id int, token string, weight double")
+    got = {}
+    for r in retrieval.fuse_all(p, q, spark.createDataFrame(posts, "id int, token string, weight double"), qp, 30).collect():
+        got.setdefault(r.query_id, {})[r.id] = (r.rank, round(r.score, 9))
+    for name, v in ((0, [1.0, 0.0, 0.0]), (1, [0.1, 0.7, 0.3])):
+        cos = {i: round(sum(a * b for a, b in zip(x, v)) / sum(a * a for a in x) ** 0.5 / sum(b * b for b in v) ** 0.5, 9) for i, x in points}
+        asked = {t: w for n, t, w in ((0, "a", 1.0), (1, "b", 2.0), (1, "c", 1.0)) if n == name}
+        lex = {i: sum(w * asked.get(t, 0) for j, t, w in posts if j == i) for i, _ in points}
+        ranks = [{i: k for k, i in enumerate(sorted(s, key=lambda i: (-s[i], i)))} for s in (cos, lex)]
+        score = {i: round(sum(1 / (60 + r[i]) for r in ranks), 9) for i in cos}
+        assert {i: s for i, (_, s) in got[name].items()} == score and [i for i, _ in sorted(got[name].items(), key=lambda x: x[1][0])] == sorted(score, key=lambda i: (-score[i], i))
+
+
+def test_hot_tokens_in_blocks(spark, monkeypatch):
+    posts = spark.createDataFrame([(i, "de", 1.0) for i in range(50)] + [(3, "sol", 2.0)], "id int, token string, weight double")
+    q = spark.createDataFrame([(1, "de", 1.0), (1, "sol", 1.0), (2, "de", 3.0)], "id int, token string, weight double")
+    whole = sorted(map(tuple, retrieval.sparse_topk(posts, q, 20).collect()))
+    monkeypatch.setattr(retrieval, "BROADCAST_BYTES", 0)
+    assert sorted(map(tuple, retrieval.sparse_topk(posts, q, 20, hot_postings=7).collect())) == whole and len(whole) == 40
+
+
 def test_spread_pairs_equal_a_join(spark):
     from vellumflow.operators.pairs import spread_pairs
 

@@ -20,14 +20,15 @@ WS_CHARS = "".join(map(chr, [*range(0x9, 0xE), *range(0x1C, 0x21), 0x85, 0xA0, 0
 REFERENCES = r"(?iu)^\s*(refer[êe]ncias?|bibliografia|references|bibliography|obras\s+citadas)(?![\p{L}\p{N}_])"
 APPENDIX = r"(?iu)^\s*(ap[êe]ndices?|anexos?)(?![\p{L}\p{N}_])"
 CONTENTS = r"(?iu)^\s*(sum[áa]rio|[íi]ndice(?!\s+de)|conte[úu]do)(?![\p{L}\p{N}_])"
-FIGURES = r"(?iu)(lista|[íi]ndice)\s+de\s+figuras"
-TABLES = r"(?iu)(lista|[íi]ndice)\s+de\s+(tabelas|quadros)"
-CHARTS = r"(?iu)(lista|[íi]ndice)\s+de\s+gr[áa]ficos"
+FIGURES = r"(?iu)lista\s+de\s+figuras|[íi]ndice\s+de\s+figuras"
+TABLES = r"(?iu)lista\s+de\s+(tabelas|quadros)|[íi]ndice\s+de\s+(tabelas|quadros)"
+CHARTS = r"(?iu)lista\s+de\s+gr[áa]ficos|[íi]ndice\s+de\s+gr[áa]ficos"
 ACRONYMS = r"(?iu)lista\s+de\s+(siglas|abreviaturas|abreviaç[õo]es|s[íi]mbolos)|siglas\s+e\s+abreviaturas|lista\s+de\s+acr[ôo]nimos"
 ADMINISTRATIVE = (
     r"(?iu)(?<![\p{L}\p{N}_])(instrumento|formul[áa]rio|question[áa]rio|roteiro|termo\s+de\s+refer[êe]ncia|participantes?|entrevistad|"
     r"lista\s+de\s+presen|documentos?\s+consultad|cronograma|matriz\s+de|of[íi]cio|portaria|ata)(?![\p{L}\p{N}_])"
 )
+#: How headings are numbered and acronyms listed.
 NUMBERING = r"^\s*(\d+(?:\.\d+)*)\.?\s+\S"
 ACRONYM_LINE = r"^\s*(?:[-•*]\s*)?([A-ZÀ-Ú][A-ZÀ-Ú0-9./&-]{1,15})\s*(?:[—–:\-]|\s{2,})\s*([A-Za-zÀ-ÿ].{3,})$"
 #: Marks of what a query asks for.

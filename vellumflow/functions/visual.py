@@ -18,6 +18,7 @@ FOREIGN = (
     "colômbia", "colombia", "argentina", "chile", "peru", "venezuela", "bolívia", "bolivia", "equador", "uruguai", "paraguai", "méxico", "mexico", "estados unidos",
     "espanha", "portugal", "frança", "alemanha", "itália",
 )
+#: What makes a formula, and what an ordinal written as one looks like.
 MATH = r"[=<>+×·]|\\(frac|sum|int|prod|sqrt|underbrace|overbrace|times|cdot|le|ge|neq|approx|partial|nabla|alpha|beta|lambda|sigma|mu|log|ln|exp|min|max)\b"
 ORDINAL = r"^\s*[_^]?\s*\{?\s*\d{1,3}\s*[\^_]?\s*\{?\s*[oaºª°0]\s*\}?\s*\}?\s*$"
 _STATE = "(?iu)" + "|".join(STATES)
