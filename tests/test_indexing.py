@@ -17,5 +17,7 @@ def test_runs_replace_and_repeat_nothing(spark):
     forced = index_documents(good, "r3", first, cfg=cfg, force=True).points
     assert {r.run_id for r in forced.collect()} == {"r3"} and {r.id for r in forced.collect()} == {r.id for r in first.collect()}
     assert index_documents(good, "r4", first, cfg=cfg, force=True, only=["zz"]).documents.count() == 0
+    dry = index_documents(good.unionByName(bad), "r5", cfg=cfg, dry_run=True, limit=1)
+    assert [r.document_id for r in dry.documents.collect()] == ["d1"] and dry.points is None and dry.quarantine is None
     v = run.points.select(F.size("dense").alias("n"), F.size("sparse").alias("m")).first()
     assert v.n == 32 and v.m > 5

@@ -53,6 +53,18 @@ def listed(index: DataFrame, score: str, records: DataFrame, limit: int, key: st
     return top.join(known, key, "left_semi"), top.join(known, key, "left_anti")
 
 
+def queue_entries(queue: DataFrame, requests: DataFrame, key: str = "request_id") -> tuple[DataFrame, DataFrame]:
+    """(entries whose request has a record, orphans to be removed). A null key is an orphan."""
+    known = requests.where(F.col(key).isNotNull()).select(key).distinct()
+    return queue.join(known, key, "left_semi"), queue.join(known, key, "left_anti")
+
+
+def flagged(rows: DataFrame, failures: DataFrame, key: str = "job_id", flag: str = "has_failure") -> DataFrame:
+    """Rows with a flag that says whether their key is among the failures; a null key isn't."""
+    known = failures.where(F.col(key).isNotNull()).select(key).distinct().withColumn(flag, F.lit(True))
+    return rows.join(known, key, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+
+
 def effective_priority(base: Column, waited_seconds: Column, interval: float = 60.0, step: int = 1, floor: int = 0) -> Column:
     """Priority less a step for each full interval waited, the floor at least; smaller goes first."""
     return F.greatest(F.lit(floor), base - F.floor(F.greatest(waited_seconds, F.lit(0.0)) / interval) * step)

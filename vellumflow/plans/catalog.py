@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellumflow.plans import detail_queries, search_queries, state_queries, structure_queries, text_queries
+from vellumflow.plans import collection_queries, detail_queries, search_queries, state_queries, structure_queries, text_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
-_ALL = text_queries.QUERIES | structure_queries.QUERIES | search_queries.QUERIES | state_queries.QUERIES | detail_queries.QUERIES
+_ALL = text_queries.QUERIES | structure_queries.QUERIES | search_queries.QUERIES | state_queries.QUERIES | detail_queries.QUERIES | collection_queries.QUERIES
 
 
 def queries() -> dict[str, Query]:

@@ -23,8 +23,8 @@ NAMESPACE = uuid.UUID("6ba7b812-9dad-11d1-80b4-00c04fd430c8")
 class IndexRun:
     """Points after a run, the documents set aside with their reason, and the documents the run took up."""
 
-    points: DataFrame
-    quarantine: DataFrame
+    points: DataFrame | None
+    quarantine: DataFrame | None
     documents: DataFrame
 
 
@@ -40,20 +40,25 @@ def embed(chunks: DataFrame, dims: int = 32, text: str = "contextualized_text")
     return chunks.withColumns({"dense": vectors.hashed_embedding(words(F.lower(shown)), dims), "sparse": weights(shown)})
 
 
-def index_documents(blocks: DataFrame, run_id: str, points: DataFrame | None = None, titles: DataFrame | None = None, cfg: chunking.ChunkConfig = chunking.ChunkConfig(), force: bool = False, only: list[str] | None = None, dims: int = 32) -> IndexRun:
+def index_documents(blocks: DataFrame, run_id: str, points: DataFrame | None = None, titles: DataFrame | None = None, cfg: chunking.ChunkConfig = chunking.ChunkConfig(), force: bool = False, only: list[str] | None = None, dims: int = 32, dry_run: bool = False, limit: int | None = None) -> IndexRun:
     """Indexes the documents of ``blocks`` that aren't indexed under this configuration yet, or all with ``force``.
 
     A document with a chunk above the hard limit is set aside as a whole and keeps its old points. Of documents
     taken up only the new points stay. Running it again takes up nothing and changes nothing. ``only`` restricts
-    the run to named documents.
+    the run to named documents, ``limit`` to the first so many by name of those that it would take up. A ``dry_run`` only
+    says which: its points are those of before and nothing is set aside.
     """
     documents = blocks.select("document_id").distinct().withColumn("config_hash", F.lit(cfg.hash))
     if only is not None:
         documents = documents.where(F.col("document_id").isin(*only))
     if points is not None and not force:
         documents = state.not_indexed(documents, points, version="config_hash")
+    if limit is not None:
+        documents = documents.orderBy("document_id").limit(limit)
+    if dry_run:
+        return IndexRun(points, None, documents)
     todo = blocks.join(documents.select("document_id"), "document_id", "left_semi")
-    good, bad = chunking.chunks(todo, titles, cfg)
+    good, bad = chunking.chunks(todo, titles, cfg, rejected_texts=False)
     faulty = bad.where("reason = 'too_large'").groupBy("document_id").agg(F.max("token_count").alias("largest_chunk")).withColumn("reason", F.lit("chunk above the hard limit"))
     kept = good.join(faulty.select("document_id"), "document_id", "left_anti")
     r = retrieval.retrieval_class(F.col("content_type"), F.col("section_kind"))
