@@ -156,9 +156,10 @@ LAGS = 8
 _COSINES = np.cos(np.pi * np.outer(np.arange(1, LAGS + 1), np.arange(1, LAGS + 1)) / LAGS)
 
 
-def _spectral_peak(by_lag: np.ndarray) -> np.ndarray:
-    """Highest power over all frequencies of each row of values by lag, taken about their mean, as a share of their size."""
-    centred = by_lag - by_lag.mean(axis=1, keepdims=True)
+def _spectral_peak(by_lag: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Highest power over all frequencies of each row of values by lag, taken about the mean of those known; lags longer than a text add nothing."""
+    mean = (by_lag * known).sum(axis=1, keepdims=True) / np.maximum(1, known.sum(axis=1, keepdims=True))
+    centred = np.where(known, by_lag - mean, 0.0)
     return (centred @ _COSINES).max(axis=1) * 2 / LAGS
 
 
@@ -259,15 +260,17 @@ def statistics(texts: list[str | None], tables: WordTables | None = None, want_w
     out[:, col["begin_period2"]] = np.bincount(of[2:][same2], weights=(begin[2:] == begin[:-2])[same2].astype(float), minlength=n) / np.maximum(1, np.bincount(of[2:][same2], minlength=n))
     indent = first - starts
     alike, indented, lengths = (np.zeros((n, LAGS)) for _ in range(3))
+    known = np.zeros((n, LAGS), dtype=bool)
     for lag in range(1, LAGS + 1):
         own = of[lag:] == of[:-lag]
         who = of[lag:][own]
-        pairs_of = np.maximum(1, np.bincount(who, minlength=n))
+        pairs_of = np.bincount(who, minlength=n)
+        known[:, lag - 1], pairs_of = pairs_of > 0, np.maximum(1, pairs_of)
         alike[:, lag - 1] = np.bincount(who, weights=(begin[lag:] == begin[:-lag])[own].astype(float), minlength=n) / pairs_of
         indented[:, lag - 1] = np.bincount(who, weights=((indent[lag:] == indent[:-lag]) & (indent[lag:] > 0))[own].astype(float), minlength=n) / pairs_of
         lengths[:, lag - 1] = np.bincount(who, weights=(centred[lag:] * centred[:-lag])[own], minlength=n) / pairs_of / np.maximum(1, spread**2)
-    out[:, col["begin_spectrum"]], out[:, col["indent_spectrum"]], out[:, col["length_spectrum"]] = _spectral_peak(alike), _spectral_peak(indented), _spectral_peak(lengths)
-    out[:, col["length_lags"]] = np.abs(lengths).mean(axis=1)
+    out[:, col["begin_spectrum"]], out[:, col["indent_spectrum"]], out[:, col["length_spectrum"]] = (_spectral_peak(x, known) for x in (alike, indented, lengths))
+    out[:, col["length_lags"]] = np.abs(lengths).sum(axis=1) / np.maximum(1, known.sum(axis=1))
     second = kind[np.minimum(first + 1, len(code) - 1)]
     third = kind[np.minimum(first + 2, len(code) - 1)]
     k1 = kind[first]
