@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vellumflow.functions import vectors
-from vellumflow.operators import evaluation, retrieval, state
+from vellumflow.operators import evaluation, phrases, retrieval, state
 from vellumflow.operators.pairs import group_pairs, within
 from vellumflow.sources import stores
 
@@ -87,6 +87,43 @@ def test_metrics(spark):
     assert {r.query_id: r.change for r in change.collect()} == {1: "better", 2: "gained", 3: "same"}
 
 
+def _gold_case(spark):
+    rnd = random.Random(5)
+    word = lambda: "".join(rnd.choice(["a", "b", "é", "漢", "  ", "\n", "A", "", " ", "\U0001f600"]) for _ in range(rnd.randrange(9)))
+    blocks = lambda n, *ids: [rnd.choice([*ids, None]) for _ in range(rnd.randrange(n))]
+    chunks = [(f"c{i % 140}" if i % 17 else None, rnd.choice(["x", "x", "y", "z", None]), "".join(word() for _ in range(rnd.randrange(6))) if i % 23 else None, blocks(3, "b1", "b2", "b3") if i % 9 else None) for i in range(160)]
+    gold = [(i if i % 19 else None, rnd.choice(["x", "x", "y", "w", None]), blocks(2, "b1", "b8", "b9") if i % 7 else None, " \t" if i == 30 else word() + word() if i % 11 else None) for i in range(90)]
+    return spark.createDataFrame(chunks, "chunk_id string, document_id string, text string, block_ids array<string>"), spark.createDataFrame(gold, "qid long, gold_doc string, gold_block_ids array<string>, answer_span string")
+
+
+def test_relevant_pairs_equal_brute_force(spark):
+    chunks, gold = _gold_case(spark)
+    relevant = evaluation.is_relevant(*map(F.col, ("document_id", "block_ids", "text", "gold_doc", "gold_block_ids", "answer_span")))
+    want = {(r.qid, r.chunk_id) for r in chunks.crossJoin(gold).where(relevant).collect()}
+    got = [(r.qid, r.chunk_id) for r in evaluation.relevant_pairs(chunks, gold).collect()]
+    assert want and set(got) == want and len(got) == len(want)
+
+
+@pytest.mark.parametrize("few", [{}, {"slice_bytes": 1024, "window": 7, "places": 3}])
+def test_phrases_in_windows_and_passes(spark, few):
+    rnd = random.Random(8)
+    draw = lambda n: "".join(rnd.choice("aab漢") for _ in range(rnd.randrange(n)))
+    texts, asked = [(i, rnd.choice("gh"), draw(70)) for i in range(40)], [(rnd.choice("ghk"), draw(12)) for _ in range(60)]
+    found = phrases.phrases_in(spark.createDataFrame(texts, "id int, grp string, t string").select("id", "grp", F.col("t").cast("binary").alias("text")), spark.createDataFrame(asked, "grp string, p string").select("grp", F.col("p").cast("binary").alias("phrase")), **few)
+    got = {(r.id, r.grp, bytes(r.phrase).decode()) for r in found.collect()}
+    assert got == {(i, g, p) for i, g, t in texts for h, p in asked if g == h and p in t}
+
+
+def test_answers_of_one_document_are_no_product(spark):
+    """8,000 questions to a document of 8,000 chunks: held against each other they would take minutes."""
+    gold = spark.range(8000).select(F.col("id").alias("qid"), F.lit("d").alias("gold_doc"), F.array(F.concat(F.lit("b"), "id")).alias("gold_block_ids"), F.format_string("The answer %05d stands here", "id").alias("answer_span"))
+    chunks = spark.range(8000).select(F.concat(F.lit("c"), "id").alias("chunk_id"), F.lit("d").alias("document_id"), F.concat(F.repeat(F.lit("Some  words of no account. "), 30), F.format_string("the ANSWER\n%05d stands here", F.col("id") + 1)).alias("text"), F.array(F.concat(F.lit("b"), "id")).alias("block_ids"))
+    began = time.time()
+    got = {(r.qid, r.chunk_id) for r in evaluation.relevant_pairs(chunks, gold).collect()}
+    assert got == {(i, f"c{i}") for i in range(8000)} | {(i + 1, f"c{i}") for i in range(7999)}
+    assert time.time() - began < 60
+
+
 def test_spread(spark):
     df = spark.range(10).toDF("n")
     assert [r.n for r in evaluation.spread(df, 4, "n").orderBy("n").collect()] == [0, 2, 5, 7]

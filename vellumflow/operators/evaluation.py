@@ -7,27 +7,40 @@ from pyspark.sql import functions as F
 
 from vellumflow.functions.text import match_key, squash_ws
 from vellumflow.operators.pairs import BROADCAST_BYTES, sized
+from vellumflow.operators.phrases import phrases_in
 from vellumflow.operators.running import running
 
 KS = (1, 3, 5, 10)
 
 
+def _key(c: Column) -> Column:
+    return F.lower(squash_ws(F.coalesce(c, F.lit(""))))
+
+
 def is_relevant(chunk_doc: Column, chunk_blocks: Column, chunk_text: Column, gold_doc: Column, gold_blocks: Column, span: Column) -> Column:
     """Same document, and a shared block or the answer within the text, both normalised."""
-    key = lambda c: F.lower(squash_ws(F.coalesce(c, F.lit(""))))
     overlap = F.coalesce(F.arrays_overlap(chunk_blocks, gold_blocks), F.lit(False))
-    return (chunk_doc == gold_doc) & (overlap | (F.coalesce(span, F.lit("")) != "") & key(chunk_text).contains(key(span)))
+    return (chunk_doc == gold_doc) & (overlap | (F.coalesce(span, F.lit("")) != "") & _key(chunk_text).contains(_key(span)))
 
 
 def relevant_pairs(chunks: DataFrame, gold: DataFrame) -> DataFrame:
     """(qid, chunk_id): the chunks (chunk_id, document_id, text, block_ids) relevant to each question (qid, gold_doc, gold_block_ids, answer_span).
 
-    Questions are made by hand and few: they go to the chunks where their bytes allow, so that a large document's chunks stay
-    where they are; beyond that both are shuffled by document.
+    The pairs of ``is_relevant``, without a chunk being held against every question of its document: blocks meet by an equal
+    join, and all answers are found in one pass over the texts (``phrases.phrases_in``), which are normalised once and
+    stay where they are. Rows may be repeated.
     """
-    asked = F.broadcast(gold) if sized(gold)[1] <= BROADCAST_BYTES else gold
-    met = chunks.join(asked, chunks.document_id == asked.gold_doc)
-    return met.where(is_relevant(F.col("document_id"), F.col("block_ids"), F.col("text"), F.col("gold_doc"), F.col("gold_block_ids"), F.col("answer_span"))).select("qid", "chunk_id").distinct()
+    light = lambda df: F.broadcast(df) if sized(df)[1] <= BROADCAST_BYTES else df
+    asked = gold.select("qid", F.col("gold_doc").alias("grp"), F.when(F.col("answer_span") != "", _key(F.col("answer_span")).cast("binary")).alias("phrase"))
+    blocks = gold.select("qid", F.col("gold_doc").alias("document_id"), F.explode("gold_block_ids").alias("block")).distinct()
+    by_block = chunks.select("chunk_id", "document_id", F.explode("block_ids").alias("block")).join(light(blocks), ["document_id", "block"]).select("qid", "chunk_id")
+    texts = chunks.select(F.col("chunk_id").alias("id"), F.col("document_id").alias("grp"), "text")
+    documents = asked.where("phrase is not null").select("grp").distinct()
+    if sized(documents)[1] <= BROADCAST_BYTES:
+        texts = texts.join(F.broadcast(documents), "grp", "left_semi")
+    found = phrases_in(texts.select("id", "grp", _key(F.col("text")).cast("binary").alias("text")), asked.select("grp", "phrase"))
+    by_answer = found.join(light(asked.where("phrase is not null")), ["grp", "phrase"]).select("qid", F.col("id").alias("chunk_id"))
+    return by_block.unionByName(by_answer).distinct()
 
 
 def query_metrics(ranked: DataFrame, totals: DataFrame, ks: tuple[int, ...] = KS) -> DataFrame:

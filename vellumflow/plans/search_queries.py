@@ -158,7 +158,7 @@ _PROFILE_SQL = r"""with q as (select coalesce(question, '') as q from gold_quest
 def gold_relevance(spark: SparkSession, sf: str) -> DataFrame:
     """Chunks of a question's document that hold its answer or a gold block."""
     g = table(spark, sf, "gold_questions").select("qid", F.col("doc_id").alias("gold_doc"), "gold_block_ids", "answer_span").distinct()
-    c = table(spark, sf, "chunks").select("chunk_id", "document_id", "text", "block_ids").distinct()
+    c = table(spark, sf, "chunks").select("chunk_id", "document_id", "text", "block_ids")
     return evaluation.relevant_pairs(c, g)
 
 
